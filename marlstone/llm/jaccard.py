@@ -13,7 +13,7 @@ For components not every pair is needed.  Each class is first verified with
 one partner, the leader it meets most often; what is connected by that is
 contracted, and then every candidate pair between different components is
 verified.  So a large group of near copies costs a pair a member, and no link
-that matters is lost.  ``links(..., every=True)`` verifies all candidates.
+that matters is lost.  ``links`` verifies all candidates instead.
 
 A shingle that a large part of all texts share is split into salted blocks of
 bounded size, and pairs are made per pair of blocks.
@@ -33,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -188,19 +189,45 @@ def _allowed(percent: int, na: Column, pa_: Column, nb: Column, pb: Column) -> C
     return (percent * F.greatest(na, nb) <= 100 * F.least(na, nb)) & (most >= least)
 
 
-def _class_sets(docs: DataFrame, members: DataFrame, k: int) -> DataFrame:
-    """The whole sets of the classes in ``members`` (sig, n, rep)."""
-    wanted = members.select(F.col("rep").alias("w_id")).distinct()
+def _class_sets(docs: DataFrame, pairs: DataFrame, members: DataFrame, k: int) -> DataFrame:
+    """The whole sets of the classes in ``pairs`` (a, b), each read from one of its texts."""
+    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    wanted = nodes.join(members, F.col("node") == F.struct("n", "sig")).groupBy("rep").agg(F.collect_list("node").alias("want"))
     texts = common.pick(docs, {"doc_id": "long", "text": "string"}).withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID)))
-    texts = texts.join(wanted, F.col("doc_id") == F.col("w_id"), "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, sets in _sets(batches, k):
-            yield pa.RecordBatch.from_arrays([pa.array([_sig(u) for u in sets], pa.int64()), pa.array([len(u) for u in sets], pa.int64()), pa.array([u.tobytes() for u in sets], pa.binary())], names=["sig", "n", "shingles"])
+        doc, seen = None, set()
+        for part, sets in _sets(batches, k):
+            out = []
+            for d, want, u in zip(part.column("doc_id").to_pylist(), part.column("want"), sets):
+                if d != doc:
+                    doc, seen = d, set()
+                node = (len(u), _sig(u))
+                # a doc_id may have several texts; a merge join brings its rows together, so a repeated one is seen here
+                if node not in seen and any((x["n"], x["sig"]) == node for x in want.as_py()):
+                    seen.add(node)
+                    out.append((*node, u.tobytes()))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.binary()))], names=["n", "sig", "shingles"])
+
+    return texts.join(wanted.hint("merge"), F.col("doc_id") == F.col("rep")).select("doc_id", "want", "text").mapInArrow(run, "n long, sig long, shingles binary")
+
+
+def _near_enough(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """Suffix filter: pairs whose histograms don't rule them out."""
+    j = pairs.join(members.select(F.struct("n", "sig").alias("a"), F.col("bins").alias("b_a")), "a")
+    j = j.join(members.select(F.struct("n", "sig").alias("b"), F.col("bins").alias("b_b")), "b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BINS).astype(np.int16) for c in (3, 4))
+                both = pc.struct_field(batch.column(0), "n").to_numpy() + pc.struct_field(batch.column(1), "n").to_numpy()
+                ok = np.abs(x - y).sum(axis=1) <= both - 2 * needed(both, 0, percent)
+                yield batch.select([0, 1, 2]).filter(pa.array(ok))
 
-    found = texts.mapInArrow(run, "sig long, n long, shingles binary")
-    # a repeated row, or a doc_id with several texts, is why there may be more than the classes asked for
-    return found.join(members.select("sig", "n"), ["sig", "n"], "left_semi").groupBy("sig", "n").agg(F.first("shingles").alias("shingles"))
+    node = "struct<n:bigint,sig:bigint>"
+    return j.select("a", "b", "times", "b_a", "b_b").mapInArrow(run, f"a {node}, b {node}, times long")
 
 
 def _similar(a: np.ndarray, b: np.ndarray, percent: int, depth: int = 4) -> bool:
@@ -291,20 +318,31 @@ def _prepare(docs: DataFrame, scratch: common.Scratch, k: int, percent: int, blo
     meet = scratch.save(_meetings(_postings(docs, k, percent, counts, block)), "meetings")
     scratch.release()
     members = scratch.save(meet.select("sig", "n").distinct().join(classes, ["sig", "n"]), "members")
-    sets = scratch.save(_class_sets(docs, members, k), "sets")
+    return rows, classes, meet, members
+
+
+def _checked(docs: DataFrame, scratch: common.Scratch, pairs: DataFrame, members: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs that are links, written."""
+    pairs = scratch.save(pairs, "pairs")
+    scratch.release()
+    sets = scratch.save(_class_sets(docs, pairs, members, k), "sets")
     scratch.release()
-    return rows, classes, meet, members, sets
+    found = scratch.save(_verify(pairs, sets, percent), "links")
+    scratch.drop(pairs, sets)
+    scratch.release()
+    return found
 
 
-def _first_links(meet: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _first_pairs(meet: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """Of each class the leader that it meets most often and may be similar to."""
     met = meet.filter((F.col("sig") != F.col("l_sig")) | (F.col("n") != F.col("l_n"))).filter(_allowed(percent, F.col("n"), F.col("pos"), F.col("l_n"), F.col("l_pos")))
     a, b = F.struct("n", "sig"), F.struct(F.col("l_n").alias("n"), F.col("l_sig").alias("sig"))
     pairs = met.groupBy(a.alias("a"), b.alias("b")).agg(F.count(F.lit(1)).alias("times"))
-    best = pairs.groupBy("a").agg(F.max(F.struct("times", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
-    return _verify(best, sets, percent)
+    return _near_enough(pairs, members, percent).groupBy("a").agg(F.max(F.struct("times", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
 
 
-def _cross_links(scratch: common.Scratch, meet: DataFrame, members: DataFrame, sets: DataFrame, roots: DataFrame | None, percent: int) -> DataFrame:
+def _open_pairs(scratch: common.Scratch, meet: DataFrame, members: DataFrame, roots: DataFrame | None, percent: int) -> DataFrame:
+    """Candidate pairs between components (without ``roots``: between classes)."""
     own = F.struct("n", "sig")
     m = meet.select("token", "salt", "n", "sig", "pos")
     if roots is None:
@@ -315,7 +353,7 @@ def _cross_links(scratch: common.Scratch, meet: DataFrame, members: DataFrame, s
     open_ = m.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select(F.col("token").alias("o_token"))
     m = m.join(open_, F.col("token") == F.col("o_token"), "left_semi")
     m = m.join(members.select("sig", "n", "bins"), ["sig", "n"]).select("token", "salt", "n", "sig", "pos", F.col("c.n").alias("c_n"), F.col("c.sig").alias("c_sig"), "bins")
-    return _verify(scratch.save(_cross_pairs(m, percent), "pairs"), sets, percent)
+    return _cross_pairs(m, percent)
 
 
 def components(docs: DataFrame, k: int = 5, percent: int = 80, block: int = BLOCK_ROWS) -> DataFrame:
@@ -326,13 +364,11 @@ def components(docs: DataFrame, k: int = 5, percent: int = 80, block: int = BLOC
     ``percent`` percent or more.
     """
     scratch = common.Scratch(docs.sparkSession, "jaccard")
-    rows, classes, meet, members, sets = _prepare(docs, scratch, k, percent, block)
-    one = scratch.save(_first_links(meet, sets, percent), "links")
-    scratch.release()
+    rows, classes, meet, members = _prepare(docs, scratch, k, percent, block)
+    one = _checked(docs, scratch, _first_pairs(meet, members, percent), members, k, percent)
     roots = scratch.save(common.connected_components(scratch, one), "roots")
-    two = scratch.save(_cross_links(scratch, meet, members, sets, roots, percent), "links")
-    scratch.drop(meet, sets)
-    scratch.release()
+    two = _checked(docs, scratch, _open_pairs(scratch, meet, members, roots, percent), members, k, percent)
+    scratch.drop(meet)
     if not two.isEmpty():
         roots = scratch.save(common.connected_components(scratch, one.unionByName(two)), "roots")
     known = classes.select("sig", "n", "least_id").join(roots, F.struct("n", "sig") == F.col("node"), "left")
@@ -346,8 +382,8 @@ def components(docs: DataFrame, k: int = 5, percent: int = 80, block: int = BLOC
 def links(docs: DataFrame, k: int = 5, percent: int = 80, block: int = BLOCK_ROWS) -> tuple[DataFrame, DataFrame]:
     """All links between classes (a_id, b_id: their smallest doc_ids), and membership (doc_id, class_id)."""
     scratch = common.Scratch(docs.sparkSession, "jaccard")
-    rows, classes, meet, members, sets = _prepare(docs, scratch, k, percent, block)
-    found = scratch.save(_cross_links(scratch, meet, members, sets, None, percent), "links")
+    rows, classes, meet, members = _prepare(docs, scratch, k, percent, block)
+    found = _checked(docs, scratch, _open_pairs(scratch, meet, members, None, percent), members, k, percent)
     ids = classes.select(F.struct("n", "sig").alias("node"), F.col("least_id"))
     out = found.join(ids.withColumnsRenamed({"node": "a", "least_id": "a_id"}), "a").join(ids.withColumnsRenamed({"node": "b", "least_id": "b_id"}), "b").select("a_id", "b_id")
     member = rows.join(classes.select("sig", "n", F.col("least_id").alias("class_id")), ["sig", "n"]).select("doc_id", "class_id")
