@@ -26,13 +26,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
 
 BITS = 18
-MAX_TRAIN, MIN_DOCS, L2, STEPS, RATE = 6000, 5, 2e-4, 200, 0.1
+MAX_TRAIN, MIN_DOCS, L2, STEPS, RATE = 20_000, 3, 2e-4, 60, 0.1
 TOKEN_BYTES = np.zeros(256, bool)
 TOKEN_BYTES[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
@@ -106,17 +107,17 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_train: i
             lists = [pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(a)) for a in (f.astype(np.int32), x.astype(np.float32))]
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("y"), *lists, pa.array(n, pa.int64())], names=["doc_id", "y", "f", "x", "n"])
 
-    rows = texts.mapInArrow(run, "doc_id long, y int, f array<int>, x array<float>, n long").dropDuplicates(["doc_id"]).orderBy("doc_id").limit(max_train).toArrow().to_pylist()
-    if not rows or len({r["y"] for r in rows}) < 2:
+    found = texts.mapInArrow(run, "doc_id long, y int, f array<int>, x array<float>, n long").dropDuplicates(["doc_id"]).limit(max_train).toArrow().sort_by("doc_id")
+    y = (found.column("y").to_numpy() > 0).astype(int)
+    if not len(y) or y.min() == y.max():
         return Model(np.zeros(1 << BITS, np.float32), np.zeros(0))
-    r = np.repeat(np.arange(len(rows)), [len(x["f"]) for x in rows])
-    c = np.concatenate([np.array(x["f"], np.int64) for x in rows])
-    v = np.concatenate([np.array(x["x"]) for x in rows])
-    enough = (np.bincount(c, minlength=1 << BITS) >= min(MIN_DOCS, max(1, len(rows) // 20)))[c]
+    r = np.repeat(np.arange(len(y)), pc.list_value_length(found.column("f")).to_numpy())
+    c = pc.list_flatten(found.column("f")).to_numpy().astype(np.int64)
+    v = pc.list_flatten(found.column("x")).to_numpy()
+    enough = (np.bincount(c, minlength=1 << BITS) >= min(MIN_DOCS, max(1, len(y) // 20)))[c]
     r, c, v = r[enough], c[enough], v[enough]
-    y = (np.array([x["y"] for x in rows]) > 0).astype(int)
     first = fit_ordinal(r, c, v, y, 2)
-    density = np.bincount(r, v * np.maximum(first.weights[c], 0), minlength=len(rows)) / np.log1p(np.array([x["n"] for x in rows])).clip(1)
+    density = np.bincount(r, v * np.maximum(first.weights[c], 0), minlength=len(y)) / np.log1p(found.column("n").to_numpy()).clip(1)
     grade = y + ((y == 1) & (density > np.median(density[y == 1]))).astype(int)
     return fit_ordinal(r, c, v, grade, 3) if grade.max() == 2 else first
 
