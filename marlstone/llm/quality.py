@@ -26,7 +26,7 @@ MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 20, 30, 8
 #: Rates whose fences are adaptive: name -> (which side is fenced, least width of the fence over the quartile).
 RATES = {
     "symbol_rate": ("high", 0.02),
-    "dup_line_rate": ("high", 0.30),
+    "dup_line_rate": ("high", 0.45),
     "word_len": ("both", 3.0),
     "upper_rate": ("high", 0.20),
 }
