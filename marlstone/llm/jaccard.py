@@ -12,7 +12,7 @@ candidate pair is verified once, on the whole sets.
 For components not every pair is needed.  Each class is first verified with
 one partner, the leader it meets most often; what is connected by that is
 contracted, and then every candidate pair between different components is
-verified.  So a large group of near copies costs a pair a member, and no link
+verified.  Leaders are the classes that others share most with.  So a large group of near copies costs a pair a member, and no link
 that matters is lost.  ``links`` verifies all candidates instead.
 
 A shingle that a large part of all texts share is split into salted blocks of
@@ -160,11 +160,11 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tupl
         yield held, np.array([0, held.num_rows])
 
 
-_MEET = "token long, salt int, sig long, n long, pos long, l_sig long, l_n long, l_pos long"
+_MEET = "token long, salt int, sig long, n long, pos long"
 
 
 def _meetings(postings: DataFrame) -> DataFrame:
-    """Postings of shingles that two classes or more share, each with its group's leader (the smallest set)."""
+    """Postings of shingles that two classes or more share."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t, new in _groups(batches, ["token", "salt"]):
@@ -175,8 +175,7 @@ def _meetings(postings: DataFrame) -> DataFrame:
             keep &= (size[group] > 1) | (salt >= 0)
             if not keep.any():
                 continue
-            lead = new[:-1][group[keep]]
-            cols = [token[keep], salt[keep], sig[keep], place[keep] >> 32, place[keep] & 0xFFFFFFFF, sig[lead], place[lead] >> 32, place[lead] & 0xFFFFFFFF]
+            cols = [token[keep], salt[keep], sig[keep], place[keep] >> 32, place[keep] & 0xFFFFFFFF]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if i == 1 else pa.int64()) for i, c in enumerate(cols)], names=[x.split()[0] for x in _MEET.split(", ")])
 
     return postings.repartition("token", "salt").sortWithinPartitions("token", "salt", "place", "sig").mapInArrow(run, _MEET)
@@ -333,9 +332,24 @@ def _checked(docs: DataFrame, scratch: common.Scratch, pairs: DataFrame, members
     return found
 
 
-def _first_pairs(meet: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+def _with_leaders(scratch: common.Scratch, meet: DataFrame, percent: int) -> DataFrame:
+    """Each posting with the leader of its shingle's block: the class whose prefix is shared most.
+
+    A copy's edits make rare shingles that nobody shares, and they fill its
+    prefix; the text that was copied has none of them.  So the most shared
+    class is the one that most others are near to.
+    """
+    size = F.col("n") - F.floor((percent * F.col("n") + 99) / 100).cast("long") + 1
+    share = meet.groupBy("sig", "n").agg(F.count(F.lit(1)).alias("met")).select("sig", "n", (F.col("met") / size).alias("share"))
+    m = scratch.save(meet.join(share, ["sig", "n"]), "shares")
+    lead = m.groupBy(F.col("token").alias("l_token"), F.col("salt").alias("l_salt")).agg(F.max(F.struct("share", F.negate("n").alias("small"), "sig", "n", "pos")).alias("l"))
+    lead = lead.select("l_token", "l_salt", F.col("l.sig").alias("l_sig"), F.col("l.n").alias("l_n"), F.col("l.pos").alias("l_pos"))
+    return m.join(lead, (F.col("token") == F.col("l_token")) & (F.col("salt") == F.col("l_salt"))).select("sig", "n", "pos", "l_sig", "l_n", "l_pos")
+
+
+def _first_pairs(scratch: common.Scratch, meet: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     """Of each class the leader that it meets most often and may be similar to."""
-    met = meet.filter((F.col("sig") != F.col("l_sig")) | (F.col("n") != F.col("l_n"))).filter(_allowed(percent, F.col("n"), F.col("pos"), F.col("l_n"), F.col("l_pos")))
+    met = _with_leaders(scratch, meet, percent).filter((F.col("sig") != F.col("l_sig")) | (F.col("n") != F.col("l_n"))).filter(_allowed(percent, F.col("n"), F.col("pos"), F.col("l_n"), F.col("l_pos")))
     a, b = F.struct("n", "sig"), F.struct(F.col("l_n").alias("n"), F.col("l_sig").alias("sig"))
     pairs = met.groupBy(a.alias("a"), b.alias("b")).agg(F.count(F.lit(1)).alias("times"))
     return _near_enough(pairs, members, percent).groupBy("a").agg(F.max(F.struct("times", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
@@ -365,7 +379,7 @@ def components(docs: DataFrame, k: int = 5, percent: int = 80, block: int = BLOC
     """
     scratch = common.Scratch(docs.sparkSession, "jaccard")
     rows, classes, meet, members = _prepare(docs, scratch, k, percent, block)
-    one = _checked(docs, scratch, _first_pairs(meet, members, percent), members, k, percent)
+    one = _checked(docs, scratch, _first_pairs(scratch, meet, members, percent), members, k, percent)
     roots = scratch.save(common.connected_components(scratch, one), "roots")
     two = _checked(docs, scratch, _open_pairs(scratch, meet, members, roots, percent), members, k, percent)
     scratch.drop(meet)
