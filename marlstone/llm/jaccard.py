@@ -5,9 +5,11 @@ sets are one class.  Shingles are ordered rare first, by a count table of
 fixed size over all texts, then by hash; two sets that are similar enough
 share one of their first ``n - ceil(t * n) + 1`` shingles, so classes meet on
 those.  A meeting is a candidate only if the length and positional filters
-allow it, and a histogram of the sets (the suffix filter: partitions of the
-hash range, whose counts bound the difference from below) does so too; each
-candidate pair is verified once, on the whole sets.
+allow it, and the suffix filter does so too: partitions of the hash range,
+whose counts bound the difference from below.  There are 64 of them where
+postings meet; distinct pairs are then filtered by the parities of as many
+partitions as twice the set's size, a bit each.  Each candidate pair that is
+left is verified once, on the whole sets.
 
 For components not every pair is needed.  Each class is first verified with
 one partner, the leader it meets most often; what is connected by that is
@@ -72,11 +74,27 @@ def _histogram(u: np.ndarray) -> bytes:
     return np.minimum(np.bincount((u >> np.uint64(58)).astype(np.int64), minlength=BINS), 255).astype(np.uint8).tobytes()
 
 
-_SCAN = "kind int, doc_id long, n long, sig long, bins binary, part int, counts binary"
+def _parities(u: np.ndarray) -> bytes:
+    """Bits of a power of two of partitions, twice the set's size or more: is the number of its hashes there odd?"""
+    m = max(64, 1 << (2 * len(u) - 1).bit_length()) if len(u) else 64
+    return np.packbits(np.bincount((u & np.uint64(m - 1)).astype(np.int64), minlength=m) & 1).tobytes()
+
+
+def _least_difference(a: bytes, b: bytes) -> int:
+    """A lower bound of two sets' symmetric difference: each hash in it flips one parity."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    while len(x) > len(y):
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+_SCAN = "kind int, doc_id long, n long, sig long, bins binary, odd binary, part int, counts binary"
 
 
 def _scan(docs: DataFrame, k: int) -> DataFrame:
-    """For each text its set's size, hash and histogram (kind 0); for each task its shingle counts (kind 1)."""
+    """For each text its set's size, hash, histogram and parities (kind 0); for each task its shingle counts (kind 1)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.split()[0] for x in _SCAN.split(", ")]
@@ -86,11 +104,11 @@ def _scan(docs: DataFrame, k: int) -> DataFrame:
             counts += np.bincount((every & np.uint64((1 << COUNT_BITS) - 1)).astype(np.int64), minlength=1 << COUNT_BITS).astype(np.uint32)
             n = part.num_rows
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.zeros(n), pa.int32()), common.int_column(part, "doc_id"), pa.array([len(u) for u in sets], pa.int64()), pa.array([_sig(u) for u in sets], pa.int64()), pa.array([_histogram(u) for u in sets], pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names=names
+                [pa.array(np.zeros(n), pa.int32()), common.int_column(part, "doc_id"), pa.array([len(u) for u in sets], pa.int64()), pa.array([_sig(u) for u in sets], pa.int64()), pa.array([_histogram(u) for u in sets], pa.binary()), pa.array([_parities(u) for u in sets], pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names=names
             )
         if counts.any():
             m = COUNT_RANGES
-            yield pa.RecordBatch.from_arrays([pa.array(np.ones(m), pa.int32()), *[pa.nulls(m, pa.int64())] * 3, pa.nulls(m, pa.binary()), pa.array(range(m), pa.int32()), pa.array([c.tobytes() for c in np.split(counts, m)], pa.binary())], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(np.ones(m), pa.int32()), *[pa.nulls(m, pa.int64())] * 3, *[pa.nulls(m, pa.binary())] * 2, pa.array(range(m), pa.int32()), pa.array([c.tobytes() for c in np.split(counts, m)], pa.binary())], names=names)
 
     return common.pick(docs, {"doc_id": "long", "text": "string"}).mapInArrow(run, _SCAN)
 
@@ -213,20 +231,18 @@ def _class_sets(docs: DataFrame, pairs: DataFrame, members: DataFrame, k: int) -
 
 
 def _near_enough(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """Suffix filter: pairs whose histograms don't rule them out."""
-    j = pairs.join(members.select(F.struct("n", "sig").alias("a"), F.col("bins").alias("b_a")), "a")
-    j = j.join(members.select(F.struct("n", "sig").alias("b"), F.col("bins").alias("b_b")), "b")
+    """Suffix filter: pairs (a, b, times) whose parities don't rule them out."""
+    j = pairs.join(members.select(F.struct("n", "sig").alias("a"), F.col("odd").alias("odd_a")), "a")
+    j = j.join(members.select(F.struct("n", "sig").alias("b"), F.col("odd").alias("odd_b")), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BINS).astype(np.int16) for c in (3, 4))
-                both = pc.struct_field(batch.column(0), "n").to_numpy() + pc.struct_field(batch.column(1), "n").to_numpy()
-                ok = np.abs(x - y).sum(axis=1) <= both - 2 * needed(both, 0, percent)
-                yield batch.select([0, 1, 2]).filter(pa.array(ok))
+            both = pc.struct_field(batch.column(0), "n").to_numpy() + pc.struct_field(batch.column(1), "n").to_numpy()
+            least = np.array([_least_difference(x, y) for x, y in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist())], np.int64)
+            yield batch.select([0, 1, 2]).filter(pa.array(least <= both - 2 * needed(both, 0, percent)))
 
     node = "struct<n:bigint,sig:bigint>"
-    return j.select("a", "b", "times", "b_a", "b_b").mapInArrow(run, f"a {node}, b {node}, times long")
+    return j.select("a", "b", "times", "odd_a", "odd_b").mapInArrow(run, f"a {node}, b {node}, times long")
 
 
 def _similar(a: np.ndarray, b: np.ndarray, percent: int, depth: int = 4) -> bool:
@@ -312,8 +328,8 @@ def _cross_pairs(meet: DataFrame, percent: int) -> DataFrame:
 def _prepare(docs: DataFrame, scratch: common.Scratch, k: int, percent: int, block: int):
     scan = scratch.save(_scan(docs, k), "scan")
     counts = common.bounded_broadcast(docs.sparkSession, _count_table(scan), 8 << COUNT_BITS)
-    rows = scan.filter("kind = 0").select("doc_id", "n", "sig", "bins")
-    classes = rows.filter("n > 0").groupBy("sig", "n").agg(F.min(F.coalesce("doc_id", F.lit(NO_ID))).alias("rep"), F.min("doc_id").alias("least_id"), F.first("bins").alias("bins"))
+    rows = scan.filter("kind = 0").select("doc_id", "n", "sig", "bins", "odd")
+    classes = rows.filter("n > 0").groupBy("sig", "n").agg(F.min(F.coalesce("doc_id", F.lit(NO_ID))).alias("rep"), F.min("doc_id").alias("least_id"), F.first("bins").alias("bins"), F.first("odd").alias("odd"))
     meet = scratch.save(_meetings(_postings(docs, k, percent, counts, block)), "meetings")
     scratch.release()
     members = scratch.save(meet.select("sig", "n").distinct().join(classes, ["sig", "n"]), "members")
@@ -367,7 +383,9 @@ def _open_pairs(scratch: common.Scratch, meet: DataFrame, members: DataFrame, ro
     open_ = m.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select(F.col("token").alias("o_token"))
     m = m.join(open_, F.col("token") == F.col("o_token"), "left_semi")
     m = m.join(members.select("sig", "n", "bins"), ["sig", "n"]).select("token", "salt", "n", "sig", "pos", F.col("c.n").alias("c_n"), F.col("c.sig").alias("c_sig"), "bins")
-    return _cross_pairs(m, percent)
+    pairs = scratch.save(_cross_pairs(m, percent).withColumn("times", F.lit(1).cast("long")), "met")
+    scratch.release()
+    return _near_enough(pairs, members, percent).select("a", "b")
 
 
 def components(docs: DataFrame, k: int = 5, percent: int = 80, block: int = BLOCK_ROWS) -> DataFrame:

@@ -73,6 +73,16 @@ def test_jaccard_components(spark, k, percent, block):
     assert got == sorted(want)
 
 
+def test_jaccard_parities_bound_the_difference():
+    r = np.random.default_rng(3)
+    for na, nb in [(0, 3), (1, 1), (40, 70), (500, 520), (900, 1100), (5000, 4000)]:
+        pool = r.integers(0, 1 << 63, na + nb, dtype=np.uint64)
+        a, b = np.unique(pool[:na]), np.unique(pool[na // 2 : na // 2 + nb])
+        least = jaccard._least_difference(jaccard._parities(a), jaccard._parities(b))
+        assert least <= len(np.setxor1d(a, b))
+        assert jaccard._least_difference(jaccard._parities(a), jaccard._parities(a)) == 0
+
+
 def test_jaccard_links(spark):
     texts = family(9, 40)
     _, want = components(texts, list(range(len(texts))), 4, 85)
