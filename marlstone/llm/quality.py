@@ -136,5 +136,10 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
 
 
 def filter_quality(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
-    """The rows of docs that are kept, with docs' own columns."""
-    return judge(docs, text, lang, source).filter("kept").select("row.*")
+    """The rows of docs that are kept, with docs' own columns.
+
+    A filter would be pushed below the counts and take their expressions with it, each inlined array
+    evaluated again for every element; one on a generator's output is not.
+    """
+    judged = judge(docs, text, lang, source).select(F.explode(F.array(F.struct("row", "kept"))).alias("j"))
+    return judged.filter("j.kept").select("j.row.*")
