@@ -435,3 +435,17 @@ def test_pipeline_on_fixture(spark, tmp_path):
     want = {i: len(e.plain(pii.masked(docs[i]))) + 1 for i in (0, 5, 34)}
     assert {i: sum(x["length"] for x in out if x["doc_id"] == i) for i in want} == want
     assert "<EMAIL>" in pii.masked(docs[34])
+
+
+def test_quality_filter_equals_verdicts_and_stays_above_counts(spark):
+    words = " ".join(f"word{i}" for i in range(40))
+    rows = [(1, words, "en", "a", 1, True), (2, None, None, None, 2, None), (3, "", "en", "a", 3, True), (4, "same " * 60, "en", "a", 4, False), (5, words, None, "a", 5, True), (5, words, None, "a", 5, True)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, j int, kept boolean")
+    got = quality.filter_quality(docs)
+    assert got.columns == docs.columns
+    assert sorted(r["doc_id"] for r in got.collect()) == [1, 5, 5]
+    want = quality.judge(docs).select("row.doc_id", F.col("kept").alias("k")).collect()
+    assert sorted(r["doc_id"] for r in want if r["k"]) == [1, 5, 5]
+    plan = got._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    at = {w: next(i for i, line in enumerate(plan) if w in line) for w in ("Filter", "Generate", "Join")}
+    assert at["Filter"] < at["Generate"] < at["Join"]
