@@ -2,8 +2,11 @@
 
 A spaced seed hashes the tokens under a fixed mask and ignores those between,
 so a passage with substituted tokens still shares seeds with its source.  The
+masks follow from the verdict: a window is cut into blocks, its allowed
+substitutions leave some blocks whole, and there is a mask for each placement
+of whole blocks to each other, so every window that agrees enough is hit.  The
 test side's seed hashes are a table; the training side is scanned once, and
-only places whose hash is in a bitmap of fixed size (built from the test
+only places whose hash is in a Bloom filter of fixed size (built from the test
 hashes) are joined with that table.  Each hit gives a diagonal (document place
 minus item place); along it the tokens around the hit are compared, and a
 window of ``MIN_TOKENS`` tokens (or of the whole shorter item) of which
@@ -12,8 +15,7 @@ window of ``MIN_TOKENS`` tokens (or of the whole shorter item) of which
 Tokens are runs of ASCII letters, digits and non-ASCII bytes; A-Z are lowered.
 
 Defined results: a null or empty text has no tokens and no overlaps.  An item
-with fewer than ``LEAST_ITEM`` tokens is not searched for.  An item of fewer
-tokens than the longest mask is searched by the hash of all its tokens.
+with fewer than ``LEAST_ITEM`` tokens is not searched for.
 Repeated rows of documents or items count once in the result.  Empty tables
 give no rows.  Extra columns are ignored; the columns of a document are kept
 by ``remove``.
@@ -22,6 +24,8 @@ by ``remove``.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -30,16 +34,28 @@ from pyspark.sql import functions as F
 
 from . import common
 
-#: Fixed masks: 1 is hashed, 0 is ignored.
-MASKS = ("111010010111", "110101011011", "11101100100111")
 MIN_TOKENS, MIN_SHARE, LEAST_ITEM = 20, 0.8, 5
+SEED_TOKENS = 6  # hashed by a mask, where the window has room for so many
 MARGIN = 64  # tokens around the hits of a region that are compared as well
 BITMAP_BITS = 24
 
 TOKEN_BYTES = np.zeros(256, bool)
 TOKEN_BYTES[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
-_SPAN = max(map(len, MASKS))
+
+
+@cache
+def masks(window: int) -> tuple[str, ...]:
+    """Masks (1 is hashed, 0 is ignored) of which one at least hits any ``window`` tokens that agree enough.
+
+    Blocks of equal length: ``wrong`` substitutions touch as many blocks at
+    most, so among ``wrong + whole`` blocks ``whole`` are untouched.
+    """
+    wrong = max(k for k in range(window) if window - k >= MIN_SHARE * window)
+    length = next((n for n in (3, 2) if n * (window // n - wrong) >= SEED_TOKENS), 1)
+    whole = min(SEED_TOKENS // length, window // length - wrong)
+    apart = [(0, *later) for later in combinations(range(1, wrong + whole), whole - 1)]
+    return tuple("".join("01"[i in blocks] * length for i in range(blocks[-1] + 1)) for blocks in apart)
 
 
 def _tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -60,17 +76,13 @@ def _seeds(tokens: np.ndarray, mask: str) -> np.ndarray:
     return common.mix64(h)
 
 
-def _item_seeds(tokens: np.ndarray) -> list[tuple[np.ndarray, int]]:
-    """(hashes, 0) for every mask; of an item too short for one, the hash of all its tokens and their number."""
-    if len(tokens) < LEAST_ITEM:
-        return []
-    if len(tokens) < _SPAN:
-        return [(_seeds(tokens, "1" * len(tokens)), len(tokens))]
-    return [(_seeds(tokens, m), 0) for m in MASKS]
+def _item_seeds(tokens: np.ndarray) -> list[np.ndarray]:
+    """Hashes for every mask of the item's window."""
+    return [_seeds(tokens, m) for m in masks(min(MIN_TOKENS, len(tokens)))] if len(tokens) >= LEAST_ITEM else []
 
 
 def _test_side(benchmark: DataFrame) -> DataFrame:
-    """One row an item: its tokens, and its seeds as (hash, place, length of a short item)."""
+    """One row an item: its tokens, and its seeds as (hash, place)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offsets in common.text_slices(batches):
@@ -79,55 +91,64 @@ def _test_side(benchmark: DataFrame) -> DataFrame:
             for i in range(len(ids)):
                 t = tok[first[i] : first[i + 1]]
                 all_tokens.append(t.view(np.int64))
-                all_seeds.append([{"h": int(h), "pos": p, "short": s} for hs, s in _item_seeds(t) for p, h in enumerate(hs.view(np.int64).tolist())])
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(all_tokens, pa.list_(pa.int64())), pa.array(all_seeds, pa.list_(pa.struct([("h", pa.int64()), ("pos", pa.int32()), ("short", pa.int32())])))], names=["item_id", "item", "seeds"])
+                all_seeds.append([{"h": h, "pos": p} for hs in _item_seeds(t) for p, h in enumerate(hs.view(np.int64).tolist())])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(all_tokens, pa.list_(pa.int64())), pa.array(all_seeds, pa.list_(pa.struct([("h", pa.int64()), ("pos", pa.int32())])))], names=["item_id", "item", "seeds"])
 
-    return common.pick(benchmark, {"item_id": "long", "text": "string"}).mapInArrow(run, "item_id long, item array<long>, seeds array<struct<h:long,pos:int,short:int>>")
+    return common.pick(benchmark, {"item_id": "long", "text": "string"}).mapInArrow(run, "item_id long, item array<long>, seeds array<struct<h:long,pos:int>>")
 
 
 def _bitmap(seeds: DataFrame) -> np.ndarray:
-    """Which low bits of a seed hash occur: 2 ** BITMAP_BITS bits whatever the benchmark's size."""
-    at = F.col("h").bitwiseAND(F.lit((1 << BITMAP_BITS) - 1))
-    words = seeds.select(F.shiftright(at, 6).alias("w"), F.expr(f"shiftleft(1L, cast(h & 63 as int))").alias("b")).groupBy("w").agg(F.bit_or("b").alias("b"))
+    """A Bloom filter of two places a seed hash: 2 ** BITMAP_BITS bits whatever the benchmark's size."""
+    at = F.explode(F.array(*[F.shiftrightunsigned("h", n * BITMAP_BITS).bitwiseAND(F.lit((1 << BITMAP_BITS) - 1)) for n in range(2)]))
+    words = seeds.select(at.alias("at")).select(F.shiftright("at", 6).alias("w"), F.expr("shiftleft(1L, cast(at & 63 as int))").alias("b")).groupBy("w").agg(F.bit_or("b").alias("b"))
     out = np.zeros(1 << (BITMAP_BITS - 6), np.int64)
     for r in words.toLocalIterator():
         out[r["w"]] = r["b"]
     return out
 
 
-def _regions(docs: DataFrame, bits, short: list[int]) -> DataFrame:
+def _in_bitmap(table: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Places whose hash may be a seed's."""
+    at = np.arange(len(h))
+    for n in range(2):
+        low = h[at] >> np.uint64(n * BITMAP_BITS) & np.uint64((1 << BITMAP_BITS) - 1)
+        at = at[(table[low >> np.uint64(6)] >> (low & np.uint64(63)) & np.uint64(1)).astype(bool)]
+    return at
+
+
+def _regions(docs: DataFrame, bits, used: list[str]) -> DataFrame:
     """Stretches of documents with hits close to each other: their tokens with a margin, and the hits."""
     rows = common.pick(docs, {"doc_id": "long", "text": "string"})
-    hit = pa.struct([("h", pa.int64()), ("pos", pa.int32()), ("short", pa.int32())])
-    masks = [(m, 0) for m in MASKS] + [("1" * n, n) for n in short]
+    hit = pa.struct([("h", pa.int64()), ("pos", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = bits.value.view(np.uint64)
         for part, data, offsets in common.text_slices(batches):
             tok, first = _tokens(data, offsets)
             found = []
-            for m, n in masks:
+            for m in used:
                 h = _seeds(tok, m)  # over the whole slice; places that cross texts go below
-                low = h & np.uint64((1 << BITMAP_BITS) - 1)
-                at = np.flatnonzero(table[low >> np.uint64(6)] >> (low & np.uint64(63)) & np.uint64(1))
-                found.append((at, h[at], np.full(len(at), len(m)), np.full(len(at), n)))
-            at, h, span, n = (np.concatenate(x) for x in zip(*found))
+                at = _in_bitmap(table, h)
+                found.append((at, h[at], np.full(len(at), len(m))))
+            if not found:
+                continue
+            at, h, span = (np.concatenate(x) for x in zip(*found))
             doc = np.searchsorted(first, at, side="right") - 1
             ok = at + span <= first[doc + 1]
-            at, h, span, n, doc = at[ok], h[ok], span[ok], n[ok], doc[ok]
+            at, h, doc = at[ok], h[ok], doc[ok]
             if not len(at):
                 continue
             order = np.lexsort((at, doc))
-            at, h, n, doc = at[order], h[order], n[order], doc[order]
+            at, h, doc = at[order], h[order], doc[order]
             new = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (np.diff(at) > MARGIN)]))
             ids, rows = part.column("doc_id").to_pylist(), []
             for a, b in zip(new.tolist(), [*new[1:].tolist(), len(at)]):
                 d = doc[a]
-                lo, hi = max(int(first[d]), int(at[a]) - MARGIN), min(int(first[d + 1]), int(at[b - 1]) + _SPAN + MARGIN)
-                rows.append((ids[d], tok[lo:hi].view(np.int64), [{"h": x, "pos": y, "short": z} for x, y, z in zip(h[a:b].view(np.int64).tolist(), (at[a:b] - lo).tolist(), n[a:b].tolist())]))
+                lo, hi = max(int(first[d]), int(at[a]) - MARGIN), min(int(first[d + 1]), int(at[b - 1]) + MIN_TOKENS + MARGIN)
+                rows.append((ids[d], tok[lo:hi].view(np.int64), [{"h": x, "pos": y} for x, y in zip(h[a:b].view(np.int64).tolist(), (at[a:b] - lo).tolist())]))
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.list_(pa.int64())), pa.array([r[2] for r in rows], pa.list_(hit))], names=["doc_id", "tokens", "hits"])
 
-    return rows.mapInArrow(run, "doc_id long, tokens array<long>, hits array<struct<h:long,pos:int,short:int>>")
+    return rows.mapInArrow(run, "doc_id long, tokens array<long>, hits array<struct<h:long,pos:int>>")
 
 
 def _agree(doc: np.ndarray, item: np.ndarray, diagonal: int) -> tuple[int, int]:
@@ -145,12 +166,13 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     scratch = common.Scratch(spark, "decontaminate")
     test = scratch.save(_test_side(benchmark), "test")
-    seeds = test.select("item_id", F.explode("seeds").alias("s")).select("item_id", F.col("s.h").alias("h"), F.col("s.pos").alias("item_pos"), F.col("s.short").alias("short"))
+    seeds = test.select("item_id", F.explode("seeds").alias("s")).select("item_id", F.col("s.h").alias("h"), F.col("s.pos").alias("item_pos"))
     bits = common.bounded_broadcast(spark, _bitmap(seeds), 1 << (BITMAP_BITS - 3))
-    short = [r[0] for r in seeds.filter("short > 0").select("short").distinct().collect()]  # lengths below the longest mask
-    regions = scratch.save(_regions(docs, bits, sorted(short)), "regions").withColumn("region", F.monotonically_increasing_id())
-    hits = regions.select("region", F.explode("hits").alias("x")).select("region", F.col("x.h").alias("d_h"), F.col("x.pos").alias("pos"), F.col("x.short").alias("d_short"))
-    diagonals = hits.join(seeds, (F.col("d_h") == F.col("h")) & (F.col("d_short") == F.col("short"))).select("region", "item_id", (F.col("pos") - F.col("item_pos")).alias("diagonal")).distinct()
+    windows = [r[0] for r in test.filter(F.size("item") >= LEAST_ITEM).select(F.least(F.size("item"), F.lit(MIN_TOKENS))).distinct().collect()]
+    used = sorted({m for w in windows for m in masks(w)})
+    regions = scratch.save(_regions(docs, bits, used), "regions").withColumn("region", F.monotonically_increasing_id())
+    hits = regions.select("region", F.explode("hits").alias("x")).select("region", F.col("x.h").alias("d_h"), F.col("x.pos").alias("pos"))
+    diagonals = hits.join(seeds, F.col("d_h") == F.col("h")).select("region", "item_id", (F.col("pos") - F.col("item_pos")).alias("diagonal")).distinct()
     pairs = diagonals.join(regions.select(F.col("region").alias("r_region"), "doc_id", "tokens"), F.col("region") == F.col("r_region")).join(test.select(F.col("item_id").alias("t_item"), "item").distinct(), F.col("item_id").eqNullSafe(F.col("t_item")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -351,6 +352,38 @@ def test_decontamination(spark):
     assert decontaminate.overlaps(d, b.limit(0)).count() == 0 and decontaminate.overlaps(d.limit(0), b).count() == 0
 
 
+def test_decontamination_masks_reach_the_verdict():
+    for n in range(decontaminate.LEAST_ITEM, decontaminate.MIN_TOKENS + 1):
+        places = [sum(1 << (at + i) for i, c in enumerate(m) if c == "1") for m in decontaminate.masks(n) for at in range(n - len(m) + 1)]
+        wrong = max(k for k in range(n) if n - k >= decontaminate.MIN_SHARE * n)
+        for bad in itertools.combinations(range(n), wrong):
+            assert any(not p & sum(1 << i for i in bad) for p in places), (n, bad)
+
+
+def best_windows(doc, item):
+    want, best = min(20, len(item)), 0
+    for a in range(len(doc) - want + 1):
+        for b in range(len(item) - want + 1):
+            best = max(best, sum(x == y for x, y in zip(doc[a : a + want], item[b : b + want])))
+    return best, want
+
+
+def test_decontamination_brute_force(spark):
+    r = random.Random(8)
+    vocab = [f"w{i}" for i in range(300)]
+    items = [[r.choice(vocab) for _ in range(n)] for n in (*range(4, 26), 38)]
+    docs = []
+    for item in items:
+        for share in (0.1, 0.2, 0.25):
+            bad = set(r.sample(range(len(item)), int(share * len(item))))
+            docs.append([r.choice(vocab) for _ in range(r.randint(0, 9))] + [r.choice(vocab) if i in bad else w for i, w in enumerate(item)] + [r.choice(vocab) for _ in range(r.randint(0, 9))])
+    b = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string")
+    got = {(x["doc_id"], x["item_id"]): (x["n_same"], x["n_window"]) for x in decontaminate.overlaps(table(spark, [" ".join(x) for x in docs]), b).collect()}
+    best = {(i, j): best_windows(d, item) for i, d in enumerate(docs) for j, item in enumerate(items) if len(item) >= 5}
+    want = {pair: (same, n) for pair, (same, n) in best.items() if same >= 0.8 * n}
+    assert got == want and len(want) > 30
+
+
 # ------------------------------------------------------------------ 9
 
 
