@@ -116,9 +116,9 @@ def _in_bitmap(table: np.ndarray, h: np.ndarray) -> np.ndarray:
     return at
 
 
-def _regions(docs: DataFrame, bits, used: list[str]) -> DataFrame:
+def _regions(rows: DataFrame, bits, used: list[str]) -> DataFrame:
     """Stretches of documents with hits close to each other: their tokens with a margin, and the hits."""
-    rows = common.pick(docs, {"doc_id": "long", "text": "string"})
+    kind = rows.schema["doc_id"].dataType.simpleString()
     hit = pa.struct([("h", pa.int64()), ("pos", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,14 +141,14 @@ def _regions(docs: DataFrame, bits, used: list[str]) -> DataFrame:
             order = np.lexsort((at, doc))
             at, h, doc = at[order], h[order], doc[order]
             new = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (np.diff(at) > MARGIN)]))
-            ids, rows = part.column("doc_id").to_pylist(), []
+            ids, out = part.column("doc_id"), []
             for a, b in zip(new.tolist(), [*new[1:].tolist(), len(at)]):
                 d = doc[a]
                 lo, hi = max(int(first[d]), int(at[a]) - MARGIN), min(int(first[d + 1]), int(at[b - 1]) + MIN_TOKENS + MARGIN)
-                rows.append((ids[d], tok[lo:hi].view(np.int64), [{"h": x, "pos": y} for x, y in zip(h[a:b].view(np.int64).tolist(), (at[a:b] - lo).tolist())]))
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.list_(pa.int64())), pa.array([r[2] for r in rows], pa.list_(hit))], names=["doc_id", "tokens", "hits"])
+                out.append((ids[int(d)].as_py(), tok[lo:hi].view(np.int64), [{"h": x, "pos": y} for x, y in zip(h[a:b].view(np.int64).tolist(), (at[a:b] - lo).tolist())]))
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], ids.type), pa.array([r[1] for r in out], pa.list_(pa.int64())), pa.array([r[2] for r in out], pa.list_(hit))], names=["doc_id", "tokens", "hits"])
 
-    return rows.mapInArrow(run, "doc_id long, tokens array<long>, hits array<struct<h:long,pos:int>>")
+    return rows.mapInArrow(run, f"doc_id {kind}, tokens array<long>, hits array<struct<h:long,pos:int>>")
 
 
 def _agree(doc: np.ndarray, item: np.ndarray, diagonal: int) -> tuple[int, int]:
@@ -163,6 +163,11 @@ def _agree(doc: np.ndarray, item: np.ndarray, diagonal: int) -> tuple[int, int]:
 
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Pairs (doc_id, item_id) that overlap, with the best window: ``n_same`` of ``n_window`` tokens agree."""
+    return _overlaps(common.pick(docs, {"doc_id": "long", "text": "string"}), benchmark)
+
+
+def _overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """``overlaps`` of documents whose doc_id is a number or a string."""
     spark = docs.sparkSession
     scratch = common.Scratch(spark, "decontaminate")
     test = scratch.save(_test_side(benchmark), "test")
@@ -184,13 +189,18 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 if same >= MIN_SHARE * want:
                     out.append((d, it, same, want))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["doc_id", "item_id", "n_same", "n_window"])
+                kinds = (batch.schema.field("doc_id").type, *[pa.int64()] * 3)
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=["doc_id", "item_id", "n_same", "n_window"])
 
-    found = pairs.select("doc_id", "item_id", "diagonal", "tokens", "item").mapInArrow(run, "doc_id long, item_id long, n_same long, n_window long")
+    found = pairs.select("doc_id", "item_id", "diagonal", "tokens", "item").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, item_id long, n_same long, n_window long")
     return found.groupBy("doc_id", "item_id").agg(F.max("n_same").alias("n_same"), F.max("n_window").alias("n_window"))
 
 
 def remove(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """docs without the documents that overlap an item."""
-    bad = overlaps(docs, benchmark).select(F.col("doc_id").alias("bad_id")).distinct()
-    return docs.join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col("bad_id")), "left_anti")
+    """docs without the rows whose text overlaps an item.
+
+    Rows are known by doc_id and text: another text with the same or no doc_id stays.
+    """
+    row = F.concat_ws(":", F.col("doc_id").cast("long"), F.md5(F.col("text").cast("string")))
+    bad = _overlaps(docs.select(row.alias("doc_id"), F.col("text").cast("string").alias("text")), benchmark).select(F.col("doc_id").alias("bad_row")).distinct()
+    return docs.join(bad, row == F.col("bad_row"), "left_anti")

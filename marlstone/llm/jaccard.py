@@ -55,9 +55,9 @@ def needed(na, nb, percent: int):
     return -(-percent * (na + nb) // (100 + percent))
 
 
-def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+def _sets(batches: Iterator[pa.RecordBatch], k: int, text: str = "text") -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
     """The sorted distinct shingle hashes of each text."""
-    for part, data, offsets in common.text_slices(batches):
+    for part, data, offsets in common.text_slices(batches, text):
         starts, ends = common.word_spans(data, offsets, common.WORD_BYTES)
         words = common.span_hashes(data, starts, ends, common.ASCII_LOWER)
         first = common.words_by_text(offsets, starts)
@@ -395,6 +395,12 @@ def components(docs: DataFrame, k: int = 5, percent: int = 80, block: int = BLOC
     included; two rows are linked if the Jaccard similarity of their sets is
     ``percent`` percent or more.
     """
+    out = _components(docs, k, percent, block)
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), F.col("sig").alias("set_id"))
+
+
+def _components(docs: DataFrame, k: int, percent: int, block: int = BLOCK_ROWS) -> DataFrame:
+    """``doc_id``, set (``n``, ``sig``), ``root`` and ``component_id`` of every row; the root tells components without ids apart."""
     scratch = common.Scratch(docs.sparkSession, "jaccard")
     rows, classes, meet, members = _prepare(docs, scratch, k, percent, block)
     one = _checked(docs, scratch, _first_pairs(scratch, meet, members, percent), members, k, percent)
@@ -406,9 +412,9 @@ def components(docs: DataFrame, k: int = 5, percent: int = 80, block: int = BLOC
     known = classes.select("sig", "n", "least_id").join(roots, F.struct("n", "sig") == F.col("node"), "left")
     known = known.withColumn("root", F.coalesce("root", F.struct("n", "sig")))
     least = known.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    by_class = known.select("sig", "n", "root").join(least, "root").select("sig", "n", "component_id")
-    out = rows.select("doc_id", "n", "sig").join(by_class.withColumnsRenamed({"sig": "c_sig", "n": "c_n"}), (F.col("sig") == F.col("c_sig")) & (F.col("n") == F.col("c_n")), "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), F.col("sig").alias("set_id"))
+    by_class = known.select(F.col("sig").alias("c_sig"), F.col("n").alias("c_n"), "root").join(least, "root")
+    out = rows.select("doc_id", "n", "sig").join(by_class, (F.col("sig") == F.col("c_sig")) & (F.col("n") == F.col("c_n")), "left")
+    return out.select("doc_id", "n", "sig", "root", "component_id")
 
 
 def links(docs: DataFrame, k: int = 5, percent: int = 80, block: int = BLOCK_ROWS) -> tuple[DataFrame, DataFrame]:
@@ -422,14 +428,39 @@ def links(docs: DataFrame, k: int = 5, percent: int = 80, block: int = BLOCK_ROW
     return out, member
 
 
+def _with_sets(docs: DataFrame, k: int) -> DataFrame:
+    """docs with each row's set, ``k_n`` and ``k_sig``, as its last columns."""
+    n, text = len(docs.columns), F.col("text").cast("string").alias("k_text")
+    schema = docs.select("*", F.lit(0).cast("long").alias("k_n"), F.lit(0).cast("long").alias("k_sig")).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, sets in _sets(batches, k, "k_text"):
+            names = [*part.schema.names[:n], "k_n", "k_sig"]
+            yield pa.RecordBatch.from_arrays([*part.columns[:n], pa.array([len(u) for u in sets], pa.int64()), pa.array([_sig(u) for u in sets], pa.int64())], names=names)
+
+    return docs.select("*", text).mapInArrow(run, schema)
+
+
 def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of docs with the smallest doc_id of their component, each once; texts without words stay."""
+    """Of each component one row: the smallest doc_id's, or any where all ids are null.  Texts without words stay.
+
+    Rows are decided one by one, by their doc_id and their set: a null or
+    repeated doc_id says nothing of the other rows that have it.  Repeated rows
+    (equal id and text) without words count once, those with a null id all stay.
+    """
     spark: SparkSession = docs.sparkSession
     scratch = common.Scratch(spark, "keep-one")
-    found = scratch.save(components(docs, k, percent), "components")
-    gone = found.filter("component_id is not null and not (doc_id <=> component_id)").select(F.col("doc_id").alias("g_id"))
-    again = found.filter("doc_id is not null").groupBy("doc_id", "set_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("doc_id").alias("g_id"))
+    found = scratch.save(_components(docs, k, percent), "components")
     key = F.col("doc_id").cast("long")
-    single = docs.join(gone.unionByName(again).distinct(), key.eqNullSafe(F.col("g_id")), "left_anti")
-    twice = docs.join(again.join(gone, "g_id", "left_anti").distinct(), key == F.col("g_id"), "left_semi").dropDuplicates(["doc_id", "text"])
-    return single.unionByName(twice)
+    best = found.filter("n > 0").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "n", "sig")).alias("b"))
+    best = scratch.save(best.select("b.doc_id", "b.n", "b.sig"), "best")
+    again = scratch.save(found.filter("doc_id is not null").groupBy(F.col("doc_id").alias("g_id")).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("g_id"), "again")
+    gone = found.filter("n > 0 and doc_id is not null").select("doc_id").join(best.select("doc_id"), "doc_id", "left_anti").select(F.col("doc_id").alias("g_id"))
+    single = docs.filter(key.isNotNull()).join(gone.unionByName(again).distinct(), key == F.col("g_id"), "left_anti")
+    unsure = docs.filter(key.isNotNull()).join(again, key == F.col("g_id"), "left_semi").unionByName(docs.filter(key.isNull()))
+    rows = _with_sets(unsure, k)
+    blank = rows.filter("k_n = 0")
+    blank = blank.filter(key.isNull()).unionByName(blank.filter(key.isNotNull()).dropDuplicates(["doc_id", "text"]))
+    b = best.select(F.col("doc_id").alias("b_id"), F.col("n").alias("b_n"), F.col("sig").alias("b_sig"))
+    kept = rows.filter("k_n > 0").join(b, (F.col("k_sig") == F.col("b_sig")) & (F.col("k_n") == F.col("b_n")) & key.eqNullSafe(F.col("b_id")), "left_semi").dropDuplicates(["doc_id", "k_n", "k_sig"])
+    return single.unionByName(kept.unionByName(blank).drop("k_n", "k_sig"))

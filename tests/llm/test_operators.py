@@ -101,6 +101,14 @@ def test_jaccard_odd_rows(spark):
     assert sorted(r["doc_id"] for r in one.collect()) == [1, 2, 5] and one.columns == d.columns
 
 
+def test_keep_one_decides_per_row(spark):
+    a, b, c, e = ("a b c d e f", "g h i j k l", "m n o p q r", "s t u v w x")
+    rows = [(5, a), (6, a), (5, b), (4, b), (None, a), (None, c), (None, c), (None, e), (7, "1 2 3 4 5 6"), (7, "7 8 9 10 11 12"), (8, "7 8 9 10 11 12"), (8, ""), (8, ""), (None, ""), (None, None)]
+    got = jaccard.keep_one(table(spark, [t for _, t in rows], [i for i, _ in rows])).collect()
+    want = [(5, a), (4, b), (None, c), (None, e), (7, "1 2 3 4 5 6"), (7, "7 8 9 10 11 12"), (8, ""), (None, ""), (None, None)]
+    assert collections.Counter((r["doc_id"], r["text"]) for r in got) == collections.Counter(want)
+
+
 # ------------------------------------------------------------------ 2
 
 
@@ -352,6 +360,14 @@ def test_decontamination(spark):
     assert decontaminate.overlaps(d, b.limit(0)).count() == 0 and decontaminate.overlaps(d.limit(0), b).count() == 0
 
 
+def test_decontamination_removes_per_row(spark):
+    item = " ".join(f"w{i}" for i in range(30))
+    rows = [(None, item), (None, "clean"), (None, None), (3, "x " + item), (3, "other"), (4, "fine")]
+    b = spark.createDataFrame([(0, item)], "item_id long, text string")
+    got = decontaminate.remove(table(spark, [t for _, t in rows], [i for i, _ in rows]), b).collect()
+    assert collections.Counter((r["doc_id"], r["text"]) for r in got) == collections.Counter([(None, "clean"), (None, None), (3, "other"), (4, "fine")])
+
+
 def test_decontamination_masks_reach_the_verdict():
     for n in range(decontaminate.LEAST_ITEM, decontaminate.MIN_TOKENS + 1):
         places = [sum(1 << (at + i) for i, c in enumerate(m) if c == "1") for m in decontaminate.masks(n) for at in range(n - len(m) + 1)]
