@@ -2,7 +2,7 @@
 
 Base kinds (email, ip, card, phone) follow fixed patterns and always stay.
 Further kinds are kept only if their score reaches ``THRESHOLD``: an IBAN that
-passes mod 97, and a phone or identity number without a plus sign that has a
+passes mod 97 (up to the end of any of its tokens), and a phone or identity number without a plus sign that has a
 telling word nearby.  The scan is linear in the text, also on long runs of
 matching characters.
 
@@ -32,6 +32,7 @@ _IP = r"[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 _AT_RUN = {"email": (re.compile(_EMAIL), re.compile(rf"(?<!{_LOCAL}){_EMAIL}")), "ip": (re.compile(_IP), re.compile(rf"(?<![0-9]){_IP}"))}
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
+IBAN_LEAST = 15
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
 _NATIONAL = re.compile(r"(?<![0-9+(.-])(?:\([0-9]{2,5}\) ?|0[0-9]{1,4}[ /-])[0-9]{2,5}(?:[ -]?[0-9]{2,5}){1,3}(?![0-9.])")
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
@@ -77,6 +78,19 @@ def _from_runs(kind: str, text: str) -> Iterator[tuple[int, int]]:
         at = m.end()
 
 
+def _ibans(text: str) -> Iterator[tuple[int, int]]:
+    """The longest span of whole tokens that passes mod 97 from each start; where none does, the next token is tried."""
+    at = 0
+    while m := _IBAN.search(text, at):
+        a, b = m.span()
+        while b and not mod97(text[a:b].replace(" ", "")):
+            b = text.rfind(" ", a, b)
+            b = b if b > 0 and len(text[a:b].replace(" ", "")) >= IBAN_LEAST else 0
+        if b:
+            yield a, b
+        at = b or a + 1
+
+
 def _small(part: str) -> bool:
     part = part.lstrip("0")
     return len(part) <= 3 and int(part or 0) <= 255
@@ -101,9 +115,8 @@ def propose(text: str) -> Iterator[tuple[str, int, int, bool]]:
         for m in _PHONE.finditer(text):
             if 9 <= len(_digits(m[0])) <= 15:
                 yield "phone", *m.span(), False
-    for m in _IBAN.finditer(text):
-        if mod97(m[0].replace(" ", "")):
-            yield "iban", *m.span(), True
+    for a, b in _ibans(text):
+        yield "iban", a, b, True
     for kind, pat in (("national_phone", _NATIONAL), ("ssn", _SSN)):
         for m in pat.finditer(text):
             yield kind, *m.span(), False

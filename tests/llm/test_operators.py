@@ -437,6 +437,16 @@ def test_pii_context_and_checksums(spark):
     assert pii.find(d.limit(0)).count() == 0
 
 
+def test_pii_iban_ends_at_any_token():
+    got = lambda t: [t[a:b] for k, a, b, _ in pii.spans(t) if k == "iban"]
+    de, spaced, gb = "DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432"
+    assert got(f"IBAN {de} BIC COBADEFFXXX") == [de] and got(f"{spaced} OK") == [spaced]
+    assert got(f"{gb} I paid") == [gb] and got(f"{de} 12 May") == [de]
+    assert got(f"REF AB12 {spaced} {gb} X") == [spaced, gb] and got(f"NO9386011117947 {de}") == ["NO9386011117947", de]
+    assert got("DE88 3704 0044 0532 0130 00 OK") == [] and got("AB12 " * 50_000) == []
+    assert pii.masked(f"pay {de} BIC COBADEFFXXX now") == "pay <IBAN> BIC COBADEFFXXX now"
+
+
 # ------------------------------------------------------------------ 10
 
 
