@@ -116,6 +116,17 @@ def pick(docs: DataFrame, columns: dict[str, str]) -> DataFrame:
     return docs.select(*[F.col(f"`{c}`").cast(t).alias(c) for c, t in columns.items()])
 
 
+def free(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores added until df has no such column."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 # --------------------------------------------------------------------------- hashing kernels
 
 _MASK = np.uint64(0xFFFFFFFFFFFFFFFF)

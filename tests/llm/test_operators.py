@@ -79,9 +79,9 @@ def test_jaccard_parities_bound_the_difference():
     for na, nb in [(0, 3), (1, 1), (40, 70), (500, 520), (900, 1100), (5000, 4000)]:
         pool = r.integers(0, 1 << 63, na + nb, dtype=np.uint64)
         a, b = np.unique(pool[:na]), np.unique(pool[na // 2 : na // 2 + nb])
-        least = jaccard._least_difference(jaccard._parities(a), jaccard._parities(b))
+        least = jaccard._least_difference(jaccard._parities(a).tobytes(), jaccard._parities(b).tobytes())
         assert least <= len(np.setxor1d(a, b))
-        assert jaccard._least_difference(jaccard._parities(a), jaccard._parities(a)) == 0
+        assert jaccard._least_difference(jaccard._parities(a).tobytes(), jaccard._parities(a).tobytes()) == 0
 
 
 def test_jaccard_links(spark):
@@ -92,6 +92,44 @@ def test_jaccard_links(spark):
     assert {tuple(sorted((r["a_id"], r["b_id"]))) for r in links.collect()} == {tuple(sorted((cls[a], cls[b]))) for a, b in want}
 
 
+def test_jaccard_rounds_lose_no_link(spark):
+    """Chains of edits: components whose best proposals fail must try the next ones."""
+    r = random.Random(12)
+    vocab = [f"w{i}" for i in range(4000)]
+    texts = []
+    for _ in range(4):
+        w = [r.choice(vocab) for _ in range(80)]
+        for _ in range(25):
+            w = list(w)
+            for _ in range(r.randint(1, 3)):
+                w[r.randrange(len(w))] = r.choice(vocab)
+            texts.append(" ".join(w))
+    want, _ = components(texts, list(range(len(texts))), 4, 85)
+    for rounds in ((1, None), (None,), jaccard.ROUNDS):
+        got = jaccard._components(table(spark, texts), 4, 85, 3, rounds).select("doc_id", "n", "component_id").collect()
+        assert sorted(tuple(x) for x in got) == sorted(want)
+
+
+def test_jaccard_meetings_stream(spark):
+    """Groups, copies and single rows over batch ends of every size."""
+    r = random.Random(13)
+    rows = [(r.randint(0, 6), -1 if (t := r.random()) < 0.7 else int(t * 10) % 2, r.randint(0, 3), (9 << 32) + r.randint(0, 2)) for _ in range(60)]
+    groups = collections.defaultdict(set)
+    for token, salt, sig, place in rows:
+        groups[token, salt].add((place, sig))
+    want = collections.Counter()
+    for (token, salt), found in groups.items():
+        if len(found) > 1 or salt >= 0:
+            want.update((token, ((salt + 1) << 32) + i // 2, sig, 9, place & 0xFFFFFFFF) for i, (place, sig) in enumerate(sorted(found)))
+    d = spark.createDataFrame(rows, "token long, salt int, sig long, place long")
+    for size in (1, 2, 3, 1000):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        try:
+            assert collections.Counter(tuple(x) for x in jaccard._meetings(d, 2).collect()) == want
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_jaccard_odd_rows(spark):
     d = table(spark, ["a b c d e f"] * 4 + [None, ""], [None, 7, 7, 5, None, 3])
     got = [(r["doc_id"], r["component_id"]) for r in jaccard.components(d, 4, 85).collect()]
@@ -104,7 +142,8 @@ def test_jaccard_odd_rows(spark):
 def test_keep_one_decides_per_row(spark):
     a, b, c, e = ("a b c d e f", "g h i j k l", "m n o p q r", "s t u v w x")
     rows = [(5, a), (6, a), (5, b), (4, b), (None, a), (None, c), (None, c), (None, e), (7, "1 2 3 4 5 6"), (7, "7 8 9 10 11 12"), (8, "7 8 9 10 11 12"), (8, ""), (8, ""), (None, ""), (None, None)]
-    got = jaccard.keep_one(table(spark, [t for _, t in rows], [i for i, _ in rows])).collect()
+    d = table(spark, [t for _, t in rows], [i for i, _ in rows]).withColumns({c: F.lit(1) for c in ("g_id", "own_n", "b_id", "key", "k_text")})
+    got = jaccard.keep_one(d).collect()
     want = [(5, a), (4, b), (None, c), (None, e), (7, "1 2 3 4 5 6"), (7, "7 8 9 10 11 12"), (8, ""), (None, ""), (None, None)]
     assert collections.Counter((r["doc_id"], r["text"]) for r in got) == collections.Counter(want)
 
