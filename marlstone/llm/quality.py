@@ -1,12 +1,17 @@
 """Quality rules with adaptive thresholds (native: DataFrame functions only).
 
-Each text gets a few counts.  Some of them, as rates, are summarised per
-(lang, source) in KLL quantile sketches, which merge; every partition
-pre-aggregates its own, so a hot source costs one small sketch per partition
-and not a hot task.  Sketches merge upwards (source -> language -> all), and a
-group with too few texts to have quartiles of its own borrows its language's,
-or the whole corpus's.  The thresholds are outlier fences on the quartiles;
-the table of them is joined back to the texts to filter.
+Each text gets a few counts, once, in a written table.  Some of them, as
+rates, are summarised per (lang, source) in KLL quantile sketches, which merge;
+every partition pre-aggregates its own, so a hot source costs one small sketch
+per partition and not a hot task.  Sketches merge upwards (source -> language
+-> all), and a group with too few texts to have quartiles of its own borrows
+its language's, or the whole corpus's.  The thresholds are fences ``FENCE``
+spreads beyond the quartiles.  A spread is the group's own interquartile
+range, but no less than ``SHARE`` of its language's and of the corpus's, so
+that a group full of copies does not fence out the rest; where even that is
+nothing, nothing is fenced.  No fence has a fixed number in it.  The table of
+fences, a row for each group, is joined back to the counts; it is broadcast if
+it has at most ``FEW`` rows.
 
 Defined results: a null or empty text has no words, so it fails the base rule.
 A null language or source is a group like any other.  Repeated rows are judged
@@ -15,23 +20,24 @@ one by one.  An empty table gives an empty result.  Extra columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import common
+
 SPACE = r"[\x20\x09-\x0D]+"
 NOT_SPACE = r"[^\x20\x09-\x0D]"
 
 #: Fixed base rule: fewest words, and most words (percent) in repeated windows.
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 20, 30, 8
-#: Rates whose fences are adaptive: name -> (which side is fenced, least width of the fence over the quartile).
-RATES = {
-    "symbol_rate": ("high", 0.02),
-    "dup_line_rate": ("high", 0.45),
-    "word_len": ("both", 3.0),
-    "upper_rate": ("high", 0.20),
-}
-FENCE = 6.0  # interquartile ranges
+#: Rates whose fences are adaptive, and the sides that are fenced.  All of them vary in any prose, so their quartiles differ.
+RATES = {"punct_rate": "high", "word_len": "both", "upper_rate": "high"}
+FENCE, SHARE = 8.0, 0.5
 MIN_GROUP = 50  # texts that a group needs for thresholds of its own
+FEW = 100_000  # fences to broadcast, of 100 bytes or so each
+PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def text_counts(text: Column) -> dict[str, Column]:
@@ -43,7 +49,7 @@ def text_counts(text: Column) -> dict[str, Column]:
         "word_chars": F.length(bare).cast("long"),
         "n_symbols": (F.length(t) - F.length(F.translate(t, "#*$%&|<>", ""))).cast("long"),
         "n_upper": (F.length(t) - F.length(F.translate(t, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", ""))).cast("long"),
-        "n_lines": F.size(lines).cast("long"),
+        "n_punct": (F.length(t) - F.length(F.translate(t, PUNCTUATION, ""))).cast("long"),
         "n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"),
     }
 
@@ -73,9 +79,9 @@ def _repeat_words(d: DataFrame) -> DataFrame:
     return d.withColumn("n_repeat_words", F.coalesce(total, F.lit(0).cast("long"))).drop("at")
 
 
-def features(docs: DataFrame, text: str = "text") -> DataFrame:
-    """All columns of ``docs`` in one struct ``row``, and the counts beside it."""
-    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text}`").alias("t"))
+def features(docs: DataFrame, text: str = "text", columns: Sequence[str] | None = None) -> DataFrame:
+    """The columns of ``docs`` (all, or those named) in one struct ``row``, and the counts beside it."""
+    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in (docs.columns if columns is None else columns)]).alias("row"), F.col(f"`{text}`").alias("t"))
     d = d.select("row", *[c.alias(n) for n, c in text_counts(F.col("t")).items()], F.filter(F.split(F.coalesce("t", F.lit("")), SPACE, -1), lambda x: x != "").alias("w"))
     d = d.withColumn("h", F.transform("w", lambda x: F.xxhash64(x))).drop("w")
     d = d.withColumn("n_words", F.size("h").cast("long")).withColumn("win", _windows("h")).drop("h")
@@ -85,22 +91,18 @@ def features(docs: DataFrame, text: str = "text") -> DataFrame:
 def rates(n: dict[str, Column]) -> dict[str, Column]:
     chars = F.greatest(n["word_chars"], F.lit(1)).cast("double")
     return {
-        "symbol_rate": n["n_symbols"] / chars,
-        "dup_line_rate": n["n_dup_lines"] / F.greatest(n["n_lines"], F.lit(1)).cast("double"),
+        "punct_rate": n["n_punct"] / chars,
         "word_len": n["word_chars"] / F.greatest(n["n_words"], F.lit(1)).cast("double"),
         "upper_rate": n["n_upper"] / chars,
     }
 
 
-def thresholds(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
-    """One row for each (lang, source): ``lo_<rate>`` and ``hi_<rate>``.
+def thresholds(counted: DataFrame) -> DataFrame:
+    """One row for each group of ``counted`` (g_lang, g_source, n_words and the rates): ``lo_<rate>`` and ``hi_<rate>``.
 
     Texts under MIN_WORDS words do not count: they fail anyway.
     """
-    t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    n_words = F.size(F.filter(F.split(t, SPACE, -1), lambda x: x != "")).cast("long")
-    d = docs.select(F.col(f"`{lang}`").cast("string").alias("g_lang"), F.col(f"`{source}`").cast("string").alias("g_source"), n_words.alias("n_words"), *[c.alias(n) for n, c in text_counts(t).items()])
-    d = d.select("g_lang", "g_source", F.when(F.col("n_words") >= MIN_WORDS, F.struct(*[c.alias(k) for k, c in rates({c: F.col(c) for c in d.columns}).items()])).alias("r"))
+    d = counted.select("g_lang", "g_source", F.when(F.col("n_words") >= MIN_WORDS, F.struct(*RATES)).alias("r"))
     groups = d.groupBy("g_lang", "g_source").agg(F.count("r").alias("n"), *[F.kll_sketch_agg_double(F.col(f"r.{k}")).alias(k) for k in RATES])
     by_lang = groups.groupBy("g_lang").agg(F.sum("n").alias("n"), *[F.kll_merge_agg_double(k).alias(k) for k in RATES])
     every = by_lang.agg(F.sum("n").alias("n"), *[F.kll_merge_agg_double(k).alias(k) for k in RATES])
@@ -113,21 +115,28 @@ def thresholds(docs: DataFrame, text: str = "text", lang: str = "lang", source:
     la = quartiles(by_lang, "l", F.col("g_lang").alias("l_lang"))
     ev = quartiles(every, "e", F.lit(1).alias("one"))
     j = g.join(la, F.col("g_lang").eqNullSafe(F.col("l_lang"))).withColumn("one", F.lit(1)).join(ev, "one")
+    enough = {tag: F.col(f"{tag}_n") >= MIN_GROUP for tag in "gl"}
     out = []
-    for k, (side, least) in RATES.items():
-        q1, q3 = (F.when(F.col("g_n") >= MIN_GROUP, F.col(f"g_{k}_{q}")).when(F.col("l_n") >= MIN_GROUP, F.col(f"l_{k}_{q}")).otherwise(F.col(f"e_{k}_{q}")) for q in ("q1", "q3"))
-        width = F.greatest((q3 - q1) * FENCE, F.lit(least))
+    for k, side in RATES.items():
+        q1, q3 = (F.when(enough["g"], F.col(f"g_{k}_{q}")).when(enough["l"], F.col(f"l_{k}_{q}")).otherwise(F.col(f"e_{k}_{q}")) for q in ("q1", "q3"))
+        range_of = lambda tag: F.col(f"{tag}_{k}_q3") - F.col(f"{tag}_{k}_q1")
+        spread = F.greatest(F.when(enough["g"], range_of("g")), F.when(enough["l"], range_of("l") * F.when(enough["g"], SHARE).otherwise(1.0)), range_of("e") * F.when(enough["l"], SHARE).otherwise(1.0))
+        width = F.when(spread > 0, spread * FENCE)
         out.append((q3 + width).alias(f"hi_{k}"))
-        out.append((F.when(F.lit(side == "both"), q1 - width)).alias(f"lo_{k}"))
+        out.append(F.when(F.lit(side == "both"), q1 - width).alias(f"lo_{k}"))
     return j.select("g_lang", "g_source", *out)
 
 
-def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
-    """``row`` (all columns of docs), the counts, ``base_failed`` and ``kept``."""
-    fences = thresholds(docs, text, lang, source)
-    d = features(docs, text)
-    d = d.select("*", *[c.alias(k) for k, c in rates({c: F.col(c) for c in d.columns}).items()])
-    j = d.join(fences, F.col(f"row.`{lang}`").cast("string").eqNullSafe(F.col("g_lang")) & F.col(f"row.`{source}`").cast("string").eqNullSafe(F.col("g_source")), "left")
+def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", columns: Sequence[str] | None = None) -> DataFrame:
+    """``row`` (the columns of docs, all or those named), the counts, ``base_failed`` and ``kept``."""
+    scratch = common.Scratch(docs.sparkSession, "quality")
+    given = docs.select(*[F.col(f"`{c}`") for c in docs.columns], F.struct(F.col(f"`{lang}`").cast("string").alias("l"), F.col(f"`{source}`").cast("string").alias("s")).alias(group := common.free(docs, "group_of")[0]))
+    d = features(given, text, [*(docs.columns if columns is None else columns), group])
+    d = d.select(F.struct(*[F.col(f"row.`{c}`") for c in (docs.columns if columns is None else columns)]).alias("row"), F.col(f"row.`{group}`.l").alias("g_lang"), F.col(f"row.`{group}`.s").alias("g_source"), *[c for c in d.columns if c != "row"])
+    counted = scratch.save(d.select("*", *[c.alias(k) for k, c in rates({c: F.col(c) for c in d.columns}).items()]), "counted")
+    fences = scratch.save(thresholds(counted), "fences").select(F.col("g_lang").alias("f_lang"), F.col("g_source").alias("f_source"), *[f"{side}_{k}" for k in RATES for side in ("lo", "hi")])
+    fences = F.broadcast(fences) if fences.limit(FEW + 1).count() <= FEW else fences
+    j = counted.join(fences, F.col("g_lang").eqNullSafe(F.col("f_lang")) & F.col("g_source").eqNullSafe(F.col("f_source")), "left")
     ok = F.lit(True)
     for k in RATES:
         ok = ok & F.coalesce(F.col(k) <= F.col(f"hi_{k}"), F.lit(True)) & F.coalesce(F.col(k) >= F.col(f"lo_{k}"), F.lit(True))
@@ -136,10 +145,5 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
 
 
 def filter_quality(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
-    """The rows of docs that are kept, with docs' own columns.
-
-    A filter would be pushed below the counts and take their expressions with it, each inlined array
-    evaluated again for every element; one on a generator's output is not.
-    """
-    judged = judge(docs, text, lang, source).select(F.explode(F.array(F.struct("row", "kept"))).alias("j"))
-    return judged.filter("j.kept").select("j.row.*")
+    """The rows of docs that are kept, with docs' own columns."""
+    return judge(docs, text, lang, source).filter("kept").select("row.*")

@@ -81,7 +81,7 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = quality.judge(_table(spark, sf_dir, "documents"))
+    judged = quality.judge(_table(spark, sf_dir, "documents"), columns=["doc_id"])
     return judged.select(F.col("row.doc_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
