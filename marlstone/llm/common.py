@@ -9,13 +9,15 @@ in one place.
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
-from collections.abc import Callable, Iterable, Iterator, Sequence
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that a numpy kernel holds at once; a longer single text goes alone.
@@ -28,17 +30,25 @@ CHUNK_BYTES = 2 << 20
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors see.
 
-    It is read from ``spark.checkpoint.dir``.  Only where that is unset (local
-    tests) a temporary folder is made and set.
+    It is read from ``spark.checkpoint.dir``.  Where that is unset, a local
+    session gets a temporary folder; on a cluster other machines would not see
+    one, so that is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="marlstone-")
         spark.conf.set("spark.checkpoint.dir", path)
         spark.sparkContext.setCheckpointDir(path)
     return path.rstrip("/")
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 class Scratch:
     """Intermediate tables of one operator run, each written once and reread.
 
@@ -49,7 +59,10 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        self._tables: list[DataFrame] = []
         self._n = 0
+        if (noted := getattr(_NOTED, "roots", None)) is not None:
+            noted.append(self.root)
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         self._n += 1
@@ -57,16 +70,18 @@ class Scratch:
         df.write.option("compression", "zstd").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
+        self._tables.append(out)
         return out
 
     def drop(self, *dfs: DataFrame | None) -> None:
-        jvm = self.spark._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         for df in dfs:
-            path = getattr(df, "_scratch_path", None)
-            if path:
-                p = jvm.org.apache.hadoop.fs.Path(path)
-                p.getFileSystem(conf).delete(p, True)
+            if path := getattr(df, "_scratch_path", None):
+                delete(self.spark, path)
+                self._tables = [t for t in self._tables if t is not df]
+
+    def drop_all_but(self, *dfs: DataFrame) -> None:
+        self.drop(*[t for t in self._tables if not any(t is d for d in dfs)])
+        self.release()
 
     def release(self) -> None:
         """Let Spark's cleaner delete the shuffle files of finished phases now, not at some later collection."""
@@ -76,6 +91,29 @@ class Scratch:
         self.spark._jvm.System.gc()
 
 
+_NOTED = threading.local()
+
+
+@contextmanager
+def noted(roots: list[str]) -> Iterator[None]:
+    """Folders of all scratch tables that this thread makes inside are added to ``roots``."""
+    before, _NOTED.roots = getattr(_NOTED, "roots", None), roots
+    try:
+        yield
+    finally:
+        _NOTED.roots = before
+
+
+def sweep(spark: SparkSession, roots: list[str], docs: DataFrame) -> None:
+    """Delete the folders, but for those that ``docs`` still reads from."""
+    bare = lambda path: "/" + path.split(":", 1)[-1].lstrip("/")
+    used = [bare(f) for f in docs.inputFiles()] if roots else []
+    for root in list(roots):
+        if not any(f.startswith(bare(root) + "/") for f in used):
+            delete(spark, root)
+            roots.remove(root)
+
+
 # --------------------------------------------------------------------------- arrow helpers
 
 
@@ -107,10 +145,6 @@ def int_column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name)).cast(pa.int64())
 
 
-def run_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    return df.mapInArrow(fn, schema)
-
-
 def pick(docs: DataFrame, columns: dict[str, str]) -> DataFrame:
     """Only the columns that an operator reads, cast; whatever else the table has cannot clash with its own."""
     return docs.select(*[F.col(f"`{c}`").cast(t).alias(c) for c, t in columns.items()])
@@ -288,11 +322,6 @@ def connected_components(scratch: Scratch, edges: DataFrame, a: str = "a", b: st
     return roots.unionByName(current.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
-def exact_sum_check(values: Sequence[int], total: int) -> None:
-    if sum(values) != total:
-        raise RuntimeError(f"expected {total}, got {sum(values)}")
-
-
 def bounded_broadcast(spark: SparkSession, value: np.ndarray, limit_bytes: int):
     """Broadcast an array whose size is checked against a stated bound."""
     if value.nbytes > limit_bytes:
@@ -300,8 +329,54 @@ def bounded_broadcast(spark: SparkSession, value: np.ndarray, limit_bytes: int):
     return spark.sparkContext.broadcast(value)
 
 
-def all_of(*conds: Column) -> Column:
-    out = F.lit(True)
-    for c in conds:
-        out = out & c
+# --------------------------------------------------------------------------- Bloom filters
+
+BLOOM_BITS, _BLOOM_RANGES = (16, 26), 64
+
+
+def bloom(hashes: DataFrame) -> np.ndarray:
+    """A Bloom filter of two places for each number in the only column of a written table: 16 bits a number or more, 8 MB at most.
+
+    Every task fills one of its own; ranges of them are joined in tasks.
+    """
+    least, most = BLOOM_BITS
+    bits = min(most, max(least, (16 * hashes.count()).bit_length()))
+    column = hashes.columns[0]
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(1 << bits, bool)
+        for b in batches:
+            for at in _bloom_places(b.column(0).to_numpy().view(np.uint64), bits):
+                table[at] = True
+        if table.any():
+            parts = [np.packbits(x).tobytes() if x.any() else b"" for x in np.split(table, _BLOOM_RANGES)]
+            rows = [i for i, x in enumerate(parts) if x]
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int32()), pa.array([parts[i] for i in rows], pa.binary())], names=["part", "bits"])
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, np.ndarray] = {}
+        for b in batches:
+            for p, x in zip(b.column(0).to_pylist(), b.column(1)):
+                found[p] = found.get(p, 0) | np.frombuffer(x.as_buffer(), np.uint8)
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int32()), pa.array([x.tobytes() for x in found.values()], pa.binary())], names=["part", "bits"])
+
+    size = (1 << bits) // _BLOOM_RANGES // 8
+    out = np.zeros(1 << (bits - 3), np.uint8)
+    for r in hashes.select(F.col(column).cast("long")).mapInArrow(fill, "part int, bits binary").repartition("part").mapInArrow(join, "part int, bits binary").toLocalIterator():
+        out[r["part"] * size : (r["part"] + 1) * size] = np.frombuffer(r["bits"], np.uint8)
     return out
+
+
+def _bloom_places(h: np.ndarray, bits: int) -> Iterator[np.ndarray]:
+    mixed, mask = mix64(h), np.uint64((1 << bits) - 1)
+    yield (mixed & mask).astype(np.int64)
+    yield (mixed >> np.uint64(32) & mask).astype(np.int64)
+
+
+def in_bloom(table: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Which of the numbers may be in the filter."""
+    ok = np.ones(len(h), bool)
+    for at in _bloom_places(h, (8 * len(table)).bit_length() - 1):
+        ok &= (table[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+    return ok

@@ -50,7 +50,6 @@ COUNT_BITS, COUNT_RANGES = (18, 22), 64
 SKETCH_BITS = 2048  # of a posting's parities at most; a set's own may be longer
 BLOCK_ROWS = 8192
 SEEN_SETS = 200_000  # sets a task remembers, so that copies it meets make postings once
-FEW = 100_000  # rows of (size, hash) up to which a table is broadcast: a few MB
 ROUNDS = (1, 16, 256, None)  # pairs that a component may propose in a block; the last round has no bound
 PAIRS_AT_ONCE = 1 << 18
 NO_ID = -(1 << 63)
@@ -260,25 +259,25 @@ def _allowed(percent: int, na: Column, pa_: Column, nb: Column, pb: Column) -> C
     return (percent * F.greatest(na, nb) <= 100 * F.least(na, nb)) & (most >= least)
 
 
-def _few(df: DataFrame) -> DataFrame:
-    """df to broadcast if it has few rows; an equi-join shuffles it otherwise."""
-    return F.broadcast(df) if df.limit(FEW + 1).count() <= FEW else df.hint("merge")
-
-
 def _nodes(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
 
 
 def _class_sets(docs: DataFrame, scratch: common.Scratch, pairs: DataFrame, members: DataFrame, k: int) -> DataFrame:
-    """The whole sets of the classes in ``pairs`` (a, b), each read from one of its texts."""
-    reps = members.select(F.struct("n", "sig").alias("m_node"), "rep")
-    wanted = reps.join(_few(scratch.save(_nodes(pairs), "nodes")), F.col("m_node") == F.col("node"), "left_semi").select(F.col("rep.id").alias("r_id"), F.col("rep.key").alias("r_key"))
-    wanted = scratch.save(wanted, "wanted")
-    texts = _texts(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID)))
+    """The whole sets of the classes in ``pairs`` (a, b), each read from one of its texts.
+
+    Texts are not shuffled: a Bloom filter of the chosen rows goes to them.  A
+    set that comes by its error or twice does no harm.
+    """
+    chosen = lambda i, key: F.xxhash64(i, key).alias("h")
+    reps = members.select(F.struct("n", "sig").alias("m_node"), chosen("rep.id", "rep.key"))
+    wanted = scratch.save(reps.join(_nodes(pairs), F.col("m_node") == F.col("node"), "left_semi").select("h"), "wanted")
+    bits = common.bounded_broadcast(docs.sparkSession, common.bloom(wanted), 1 << (common.BLOOM_BITS[1] - 3))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = set()  # repeated rows: a set need not come twice from a task
-        for part, sets in _sets(batches, k):
+        seen = set()  # of repeated rows; so a set need not come twice from a task
+        some = (b.filter(pa.array(common.in_bloom(bits.value, b.column(0).to_numpy().view(np.uint64)))) for b in batches)
+        for _, sets in _sets(some, k):
             out = []
             for u in sets:
                 node = (len(u), _sig(u))
@@ -290,15 +289,15 @@ def _class_sets(docs: DataFrame, scratch: common.Scratch, pairs: DataFrame, memb
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.binary()))], names=["n", "sig", "shingles"])
 
-    found = texts.join(_few(wanted), (F.col("doc_id") == F.col("r_id")) & (F.col("key") == F.col("r_key")), "left_semi")
-    return found.select("doc_id", "text").mapInArrow(run, "n long, sig long, shingles binary")
+    texts = _texts(docs).select(chosen(F.coalesce("doc_id", F.lit(NO_ID)), "key"), "text")
+    return texts.mapInArrow(run, "n long, sig long, shingles binary")
 
 
 def _near_enough(scratch: common.Scratch, pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     """Suffix filter: pairs (a, b, times) whose parities don't rule them out."""
     pairs = scratch.save(pairs, "candidates")
     odd = members.select(F.struct("n", "sig").alias("m_node"), F.coalesce("odd", "sketch").alias("odd"))
-    odd = odd.join(_few(scratch.save(_nodes(pairs), "nodes")), F.col("m_node") == F.col("node"), "left_semi")
+    odd = odd.join(_nodes(pairs), F.col("m_node") == F.col("node"), "left_semi")
     j = pairs.join(odd.select(F.col("m_node").alias("a"), F.col("odd").alias("odd_a")), "a")
     j = j.join(odd.select(F.col("m_node").alias("b"), F.col("odd").alias("odd_b")), "b")
 
@@ -452,7 +451,7 @@ def _prepare(docs: DataFrame, scratch: common.Scratch, k: int, percent: int, blo
     meet = scratch.save(_meetings(_postings(docs, k, percent, counts, block), block), "meetings")
     scratch.release()
     members = scratch.save(meet.select("sig", "n").distinct().join(classes, ["sig", "n"]), "members")
-    return rows, classes, meet, members
+    return scan, rows, classes, meet, members
 
 
 def _checked(docs: DataFrame, scratch: common.Scratch, pairs: DataFrame, members: DataFrame, k: int, percent: int) -> DataFrame:
@@ -522,7 +521,7 @@ def components(docs: DataFrame, k: int = 5, percent: int = 80, block: int = BLOC
 def _components(docs: DataFrame, k: int, percent: int, block: int = BLOCK_ROWS, rounds: Sequence[int | None] = ROUNDS) -> DataFrame:
     """``doc_id``, set (``n``, ``sig``), ``root`` and ``component_id`` of every row; the root tells components without ids apart."""
     scratch = common.Scratch(docs.sparkSession, "jaccard")
-    rows, classes, meet, members = _prepare(docs, scratch, k, percent, block)
+    scan, rows, classes, meet, members = _prepare(docs, scratch, k, percent, block)
     tried = scratch.save(_first_pairs(scratch, meet, members, percent), "pairs")
     links = _checked(docs, scratch, tried, members, k, percent)
     for most in rounds:
@@ -544,7 +543,8 @@ def _components(docs: DataFrame, k: int, percent: int, block: int = BLOCK_ROWS,
         if whole:
             break
         tried = scratch.save(tried.unionByName(new), "tried")
-    scratch.drop(meet)
+        scratch.release()
+    scratch.drop_all_but(scan, roots)
     known = classes.select("sig", "n", "least_id").join(roots, F.struct("n", "sig") == F.col("node"), "left")
     known = known.withColumn("root", F.coalesce("root", F.struct("n", "sig")))
     least = known.groupBy("root").agg(F.min("least_id").alias("component_id"))
@@ -556,10 +556,12 @@ def _components(docs: DataFrame, k: int, percent: int, block: int = BLOCK_ROWS,
 def links(docs: DataFrame, k: int = 5, percent: int = 80, block: int = BLOCK_ROWS) -> tuple[DataFrame, DataFrame]:
     """All links between classes (a_id, b_id: their smallest doc_ids), and membership (doc_id, class_id)."""
     scratch = common.Scratch(docs.sparkSession, "jaccard")
-    rows, classes, meet, members = _prepare(docs, scratch, k, percent, block)
+    scan, rows, classes, meet, members = _prepare(docs, scratch, k, percent, block)
     met = _open_pairs(scratch, _open(scratch, meet, None), members, percent, None).select("a", "b", F.lit(1).cast("long").alias("times"))
     pairs = scratch.save(_near_enough(scratch, met, members, percent).select("a", "b"), "pairs")
-    found = _checked(docs, scratch, pairs, members, k, percent).distinct()
+    found = _checked(docs, scratch, pairs, members, k, percent)
+    scratch.drop_all_but(scan, found)
+    found = found.distinct()
     ids = classes.select(F.struct("n", "sig").alias("node"), F.col("least_id"))
     out = found.join(ids.withColumnsRenamed({"node": "a", "least_id": "a_id"}), "a").join(ids.withColumnsRenamed({"node": "b", "least_id": "b_id"}), "b").select("a_id", "b_id")
     member = rows.join(classes.select("sig", "n", F.col("least_id").alias("class_id")), ["sig", "n"]).select("doc_id", "class_id")
@@ -588,7 +590,12 @@ def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """
     spark: SparkSession = docs.sparkSession
     scratch = common.Scratch(spark, "keep-one")
-    found = scratch.save(_components(docs, k, percent), "components")
+    parts: list[str] = []
+    with common.noted(parts):
+        found = _components(docs, k, percent)
+    found = scratch.save(found, "components")
+    for part in parts:
+        common.delete(spark, part)
     other, own_n, own_sig = common.free(docs, "g_id", "own_n", "own_sig")
     b_id, b_n, b_sig = common.free(docs, "b_id", "b_n", "b_sig")
     key = F.col("doc_id").cast("long")
