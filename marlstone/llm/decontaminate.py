@@ -6,7 +6,7 @@ masks follow from the verdict: a window is cut into blocks, its allowed
 substitutions leave some blocks whole, and there is a mask for each placement
 of whole blocks to each other, so every window that agrees enough is hit.  The
 test side's seed hashes are a table; the training side is scanned once, and
-only places whose hash is in a Bloom filter of fixed size (built from the test
+only places whose hash is in a Bloom filter of bounded size (built from the test
 hashes) are joined with that table.  Each hit gives a diagonal (document place
 minus item place); along it the tokens around the hit are compared, and a
 window of ``MIN_TOKENS`` tokens (or of the whole shorter item) of which
@@ -15,7 +15,9 @@ window of ``MIN_TOKENS`` tokens (or of the whole shorter item) of which
 Tokens are runs of ASCII letters, digits and non-ASCII bytes; A-Z are lowered.
 
 Defined results: a null or empty text has no tokens and no overlaps.  An item
-with fewer than ``LEAST_ITEM`` tokens is not searched for.
+of one to four tokens overlaps where all of them stand in a row; ``remove``
+leaves items with fewer than ``least_item`` tokens out, as they say nothing of
+where a text comes from.
 Repeated rows of documents or items count once in the result.  Empty tables
 give no rows.  Extra columns are ignored; the columns of a document are kept
 by ``remove``.
@@ -34,10 +36,10 @@ from pyspark.sql import functions as F
 
 from . import common
 
-MIN_TOKENS, MIN_SHARE, LEAST_ITEM = 20, 0.8, 5
+MIN_TOKENS, MIN_SHARE = 20, 0.8
+LEAST_TO_REMOVE = 5  # an item of fewer tokens may stand in any clean text
 SEED_TOKENS = 6  # hashed by a mask, where the window has room for so many
 MARGIN = 64  # tokens around the hits of a region that are compared as well
-BITMAP_BITS = 24
 
 TOKEN_BYTES = np.zeros(256, bool)
 TOKEN_BYTES[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -76,12 +78,12 @@ def _seeds(tokens: np.ndarray, mask: str) -> np.ndarray:
     return common.mix64(h)
 
 
-def _item_seeds(tokens: np.ndarray) -> list[np.ndarray]:
+def _item_seeds(tokens: np.ndarray, least_item: int) -> list[np.ndarray]:
     """Hashes for every mask of the item's window."""
-    return [_seeds(tokens, m) for m in masks(min(MIN_TOKENS, len(tokens)))] if len(tokens) >= LEAST_ITEM else []
+    return [_seeds(tokens, m) for m in masks(min(MIN_TOKENS, len(tokens)))] if len(tokens) >= max(1, least_item) else []
 
 
-def _test_side(benchmark: DataFrame) -> DataFrame:
+def _test_side(benchmark: DataFrame, least_item: int) -> DataFrame:
     """One row an item: its tokens, and its seeds as (hash, place)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,44 +93,25 @@ def _test_side(benchmark: DataFrame) -> DataFrame:
             for i in range(len(ids)):
                 t = tok[first[i] : first[i + 1]]
                 all_tokens.append(t.view(np.int64))
-                all_seeds.append([{"h": h, "pos": p} for hs in _item_seeds(t) for p, h in enumerate(hs.view(np.int64).tolist())])
+                all_seeds.append([{"h": h, "pos": p} for hs in _item_seeds(t, least_item) for p, h in enumerate(hs.view(np.int64).tolist())])
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(all_tokens, pa.list_(pa.int64())), pa.array(all_seeds, pa.list_(pa.struct([("h", pa.int64()), ("pos", pa.int32())])))], names=["item_id", "item", "seeds"])
 
     return common.pick(benchmark, {"item_id": "long", "text": "string"}).mapInArrow(run, "item_id long, item array<long>, seeds array<struct<h:long,pos:int>>")
 
 
-def _bitmap(seeds: DataFrame) -> np.ndarray:
-    """A Bloom filter of two places a seed hash: 2 ** BITMAP_BITS bits whatever the benchmark's size."""
-    at = F.explode(F.array(*[F.shiftrightunsigned("h", n * BITMAP_BITS).bitwiseAND(F.lit((1 << BITMAP_BITS) - 1)) for n in range(2)]))
-    words = seeds.select(at.alias("at")).select(F.shiftright("at", 6).alias("w"), F.expr("shiftleft(1L, cast(at & 63 as int))").alias("b")).groupBy("w").agg(F.bit_or("b").alias("b"))
-    out = np.zeros(1 << (BITMAP_BITS - 6), np.int64)
-    for r in words.toLocalIterator():
-        out[r["w"]] = r["b"]
-    return out
-
-
-def _in_bitmap(table: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """Places whose hash may be a seed's."""
-    at = np.arange(len(h))
-    for n in range(2):
-        low = h[at] >> np.uint64(n * BITMAP_BITS) & np.uint64((1 << BITMAP_BITS) - 1)
-        at = at[(table[low >> np.uint64(6)] >> (low & np.uint64(63)) & np.uint64(1)).astype(bool)]
-    return at
-
-
 def _regions(rows: DataFrame, bits, used: list[str]) -> DataFrame:
     """Stretches of documents with hits close to each other: their tokens with a margin, and the hits."""
     kind = rows.schema["doc_id"].dataType.simpleString()
     hit = pa.struct([("h", pa.int64()), ("pos", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = bits.value.view(np.uint64)
+        table = bits.value
         for part, data, offsets in common.text_slices(batches):
             tok, first = _tokens(data, offsets)
             found = []
             for m in used:
                 h = _seeds(tok, m)  # over the whole slice; places that cross texts go below
-                at = _in_bitmap(table, h)
+                at = np.flatnonzero(common.in_bloom(table, h))
                 found.append((at, h[at], np.full(len(at), len(m))))
             if not found:
                 continue
@@ -161,21 +144,22 @@ def _agree(doc: np.ndarray, item: np.ndarray, diagonal: int) -> tuple[int, int]:
     return int((same[want:] - same[:-want]).max()), want
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def overlaps(docs: DataFrame, benchmark: DataFrame, least_item: int = 1) -> DataFrame:
     """Pairs (doc_id, item_id) that overlap, with the best window: ``n_same`` of ``n_window`` tokens agree."""
-    return _overlaps(common.pick(docs, {"doc_id": "long", "text": "string"}), benchmark)
+    return _overlaps(common.pick(docs, {"doc_id": "long", "text": "string"}), benchmark, least_item)
 
 
-def _overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def _overlaps(docs: DataFrame, benchmark: DataFrame, least_item: int) -> DataFrame:
     """``overlaps`` of documents whose doc_id is a number or a string."""
     spark = docs.sparkSession
     scratch = common.Scratch(spark, "decontaminate")
-    test = scratch.save(_test_side(benchmark), "test")
+    test = scratch.save(_test_side(benchmark, least_item), "test")
     seeds = test.select("item_id", F.explode("seeds").alias("s")).select("item_id", F.col("s.h").alias("h"), F.col("s.pos").alias("item_pos"))
-    bits = common.bounded_broadcast(spark, _bitmap(seeds), 1 << (BITMAP_BITS - 3))
-    windows = [r[0] for r in test.filter(F.size("item") >= LEAST_ITEM).select(F.least(F.size("item"), F.lit(MIN_TOKENS))).distinct().collect()]
+    bits = common.bounded_broadcast(spark, common.bloom(scratch.save(seeds.select("h"), "hashes")), 1 << (common.BLOOM_BITS[1] - 3))
+    windows = [r[0] for r in test.filter(F.size("item") >= max(1, least_item)).select(F.least(F.size("item"), F.lit(MIN_TOKENS))).distinct().collect()]
     used = sorted({m for w in windows for m in masks(w)})
-    regions = scratch.save(_regions(docs, bits, used), "regions").withColumn("region", F.monotonically_increasing_id())
+    # a region is known by its content: equal ones of a document are one, and a hash shared by two only adds pairs to verify
+    regions = scratch.save(_regions(docs, bits, used).withColumn("region", F.xxhash64("doc_id", "tokens")), "regions")
     hits = regions.select("region", F.explode("hits").alias("x")).select("region", F.col("x.h").alias("d_h"), F.col("x.pos").alias("pos"))
     diagonals = hits.join(seeds, F.col("d_h") == F.col("h")).select("region", "item_id", (F.col("pos") - F.col("item_pos")).alias("diagonal")).distinct()
     pairs = diagonals.join(regions.select(F.col("region").alias("r_region"), "doc_id", "tokens"), F.col("region") == F.col("r_region")).join(test.select(F.col("item_id").alias("t_item"), "item").distinct(), F.col("item_id").eqNullSafe(F.col("t_item")))
@@ -196,11 +180,12 @@ def _overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return found.groupBy("doc_id", "item_id").agg(F.max("n_same").alias("n_same"), F.max("n_window").alias("n_window"))
 
 
-def remove(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """docs without the rows whose text overlaps an item.
+def remove(docs: DataFrame, benchmark: DataFrame, least_item: int = LEAST_TO_REMOVE) -> DataFrame:
+    """docs without the rows whose text overlaps an item of ``least_item`` tokens or more.
 
     Rows are known by doc_id and text: another text with the same or no doc_id stays.
     """
     row = F.concat_ws(":", F.col("doc_id").cast("long"), F.md5(F.col("text").cast("string")))
-    bad = _overlaps(docs.select(row.alias("doc_id"), F.col("text").cast("string").alias("text")), benchmark).select(F.col("doc_id").alias("bad_row")).distinct()
-    return docs.join(bad, row == F.col("bad_row"), "left_anti")
+    (other,) = common.free(docs, "bad_row")
+    bad = _overlaps(docs.select(row.alias("doc_id"), F.col("text").cast("string").alias("text")), benchmark, least_item).select(F.col("doc_id").alias(other)).distinct()
+    return docs.join(bad, row == F.col(other), "left_anti")
