@@ -2,8 +2,9 @@
 
 Base kinds (email, ip, card, phone) follow fixed patterns and always stay.
 Further kinds are kept only if their score reaches ``THRESHOLD``: an IBAN that
-passes mod 97 (up to the end of any of its tokens), and a phone or identity number without a plus sign that has a
-telling word nearby.  The scan is linear in the text, also on long runs of
+passes mod 97 (up to the end of any of its tokens), a phone or identity number
+without a plus sign that has a telling word nearby, and a secret: a run of
+letters and digits as varied as a random one, with a telling word nearby.  The scan is linear in the text, also on long runs of
 matching characters.
 
 Defined results: a null or empty text has no spans.  Repeated rows are
@@ -13,7 +14,9 @@ by ``find`` and kept by ``redact``.
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -23,7 +26,7 @@ from pyspark.sql import functions as F
 from . import common
 
 BASE_KINDS = ("email", "ip", "card", "phone")
-KINDS = (*BASE_KINDS, "iban", "national_phone", "ssn")
+KINDS = (*BASE_KINDS, "iban", "national_phone", "ssn", "secret")
 
 _LOCAL = r"[A-Za-z0-9._%+-]"
 # possessive and only from where a run begins: a run that fails is not tried again from its middle
@@ -37,18 +40,22 @@ _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-
 _NATIONAL = re.compile(r"(?<![0-9+(.-])(?:\([0-9]{2,5}\) ?|0[0-9]{1,4}[ /-])[0-9]{2,5}(?:[ -]?[0-9]{2,5}){1,3}(?![0-9.])")
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 
+_SECRET = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,256}+(?![A-Za-z0-9+/_-])")
+SECRET_BITS = 3.0  # entropy of a secret's characters; words and counters have less, or no digits
+
 #: Score of a proposed span before and after its checksum, and what words near it add.
-PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.4, "phone": 0.7, "iban": 0.3, "national_phone": 0.35, "ssn": 0.4}
-CONFIRMED = {"card": 0.4, "iban": 0.6}
+PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.4, "phone": 0.7, "iban": 0.3, "national_phone": 0.35, "ssn": 0.4, "secret": 0.2}
+CONFIRMED = {"card": 0.4, "iban": 0.6, "secret": 0.2}
 CONTEXT_BONUS, CONTEXT_CHARS, THRESHOLD = 0.3, 40, 0.6
 CONTEXT = {
-    "email": re.compile(r"e-?mail|contact|@", re.I),
+    "email": re.compile(r"e-?mail|contact", re.I),
     "ip": re.compile(r"\bip\b|address|host|server", re.I),
     "card": re.compile(r"card|visa|credit|carte|karte|tarjeta", re.I),
     "phone": re.compile(r"phone|call|\btel|mobile|téléphone|telefon|teléfono", re.I),
     "iban": re.compile(r"iban|account|konto|compte|cuenta", re.I),
     "national_phone": re.compile(r"phone|call\b|\btel\b|\btel\.|mobile|téléphone|telefon|teléfono", re.I),
     "ssn": re.compile(r"\bssn\b|social security", re.I),
+    "secret": re.compile(r"token|secret|passw|credential|\bpwd\b|(?:api|access|private|auth)[ _-]?key", re.I),
 }
 
 Span = tuple[str, int, int, float]
@@ -69,6 +76,13 @@ def mod97(iban: str) -> bool:
     return int("".join(str(int(c, 36)) for c in moved)) % 97 == 1
 
 
+def random_like(run: str) -> bool:
+    """Letters and digits, and an entropy of ``SECRET_BITS`` a character or more."""
+    if not any(c.isdigit() for c in run) or not any(c.isalpha() for c in run):
+        return False
+    return -sum(n / len(run) * math.log2(n / len(run)) for n in Counter(run).values()) >= SECRET_BITS
+
+
 def _from_runs(kind: str, text: str) -> Iterator[tuple[int, int]]:
     """Leftmost matches without overlap of a pattern whose match begins at a run's start, or where the match before ended."""
     here, anywhere = _AT_RUN[kind]
@@ -117,6 +131,9 @@ def propose(text: str) -> Iterator[tuple[str, int, int, bool]]:
                 yield "phone", *m.span(), False
     for a, b in _ibans(text):
         yield "iban", a, b, True
+    for m in _SECRET.finditer(text):
+        if random_like(m[0]):
+            yield "secret", *m.span(), True
     for kind, pat in (("national_phone", _NATIONAL), ("ssn", _SSN)):
         for m in pat.finditer(text):
             yield kind, *m.span(), False
