@@ -6,6 +6,11 @@ token counts.  An edit replaces a range of characters.  Only the leaves it
 touches are encoded again, with as many leaves beside them as it takes until
 both ends are sure boundaries again, and the sums above them are updated.
 
+``build`` makes the trees once; as a table, a tree is its document's text with
+the lengths and counts of its leaves.  ``apply_edits`` takes the trees with the
+edits of a run and gives the trees after them, to be written for the next run;
+a document without edits is not encoded again.
+
 A sure boundary is a single U+0020 between two characters that are not white
 space: no pre-token of a byte-level vocabulary crosses from a character that
 is not a space into one.
@@ -82,6 +87,11 @@ class CountTree:
     def text(self) -> str:
         return "".join(self.parts)
 
+    def leaves(self) -> tuple[list[int], list[int]]:
+        """Lengths and counts of the leaves that hold text."""
+        at = [i for i, p in enumerate(self.parts) if p]
+        return [self.chars[self.size + i] for i in at], [self.tokens[self.size + i] for i in at]
+
     def _find(self, at: int) -> tuple[int, int]:
         """The leaf that holds character ``at`` (at the end: the last leaf with text) and where it begins."""
         if at >= self.length:
@@ -130,47 +140,72 @@ def in_order(edits: Sequence[dict] | None, length: int) -> list[Edit]:
     return out
 
 
-COUNTS = "doc_id long, n_tokens long, n_edits int, n_tokens_after long, n_chars_after long, encoded_chars long"
+TREES = "doc_id long, text string, leaf_chars array<int>, leaf_tokens array<int>"
+EDITS = "array<struct<start:int,end:int,text:string>>"
+COUNTS = "n_tokens long, n_edits int, n_tokens_after long, n_chars_after long, encoded_chars long"
+_INTS = pa.list_(pa.int32())
+
+
+def build(docs: DataFrame, vocabulary: dict[str, str]) -> DataFrame:
+    """The trees of ``docs`` (doc_id, text), all leaves encoded."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = tokens.encoder(**vocabulary)
+        for part, _, _ in common.text_slices(batches):
+            split = [leaves(t or "") for t in part.column("text").to_pylist()]
+            counts = np.array([len(x) for x in enc.encode([p for s in split for p in s])], np.int32)
+            cuts = np.concatenate([[0], np.cumsum([len(s) for s in split])])
+            chars = pa.array([[len(p) for p in s] for s in split], _INTS)
+            found = pa.array([counts[a:b] for a, b in zip(cuts[:-1], cuts[1:])], _INTS)
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text"), chars, found], names=["doc_id", "text", "leaf_chars", "leaf_tokens"])
+
+    return common.pick(docs, {"doc_id": "long", "text": "string"}).mapInArrow(run, TREES)
+
+
+def with_edits(trees: DataFrame, edits: DataFrame) -> DataFrame:
+    """Trees with the edits of a table (doc_id, start, end, text) as an array ``edits``; a document's edits go to all its rows, those of no document to none."""
+    e = edits.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("e_id"), F.struct(F.col("start").cast("int"), F.col("end").cast("int"), F.col("text").cast("string")).alias("e"))
+    e = e.groupBy("e_id").agg(F.collect_list("e").alias("edits"))
+    return trees.join(e, F.col("doc_id") == F.col("e_id"), "left").drop("e_id")
 
 
-def count(docs: DataFrame, vocabulary: dict[str, str]) -> DataFrame:
-    """Token counts of ``docs`` (doc_id, text, edits) before and after its edits.
+def apply_edits(trees: DataFrame, vocabulary: dict[str, str], keep_trees: bool = True) -> DataFrame:
+    """Trees (with ``edits``: an array of struct(start, end, text), or null) after their edits, and token counts before and after.
 
-    ``edits`` is an array of struct(start, end, text), or null.
     ``encoded_chars`` tells how much text the edits made the tokenizer see.
+    Without ``keep_trees`` only doc_id and the counts are returned.
     """
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("edits").cast("array<struct<start:int,end:int,text:string>>").alias("edits"))
+    rows = trees.select("doc_id", "text", "leaf_chars", "leaf_tokens", F.col("edits").cast(EDITS).alias("edits"))
+    schema = (TREES if keep_trees else "doc_id long") + ", " + COUNTS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = tokens.encoder(**vocabulary)
         one = lambda t: len(enc.encode([t])[0])
+        names = [x.split()[0] for x in schema.split(", ")]
         for part, _, _ in common.text_slices(batches):
-            texts = [t or "" for t in part.column("text").to_pylist()]
-            edits = part.column("edits").to_pylist()
-            split = [leaves(t) if e else [t] for t, e in zip(texts, edits)]
-            counts = [len(x) for x in enc.encode([p for s in split for p in s])]
-            out, at = [], 0
-            for doc, text, parts, todo in zip(part.column("doc_id").to_pylist(), texts, split, edits):
-                own = counts[at : at + len(parts)]
-                at += len(parts)
+            out = []
+            for doc, text, chars, own, todo in zip(*(part.column(c).to_pylist() for c in ("doc_id", "text", "leaf_chars", "leaf_tokens", "edits"))):
+                chars, own, length = chars or [], own or [], len(text or "")
                 before = sum(own)
                 if not todo:
-                    out.append((doc, before, 0, before, len(text), 0))
-                    continue
-                tree, shift = CountTree(parts, own), 0
-                todo = in_order(todo, len(text))
-                for a, b, new in todo:
-                    tree.edit(a + shift, b + shift, new, one)
-                    shift += len(new) - (b - a)
-                out.append((doc, before, len(todo), tree.total, tree.length, tree.encoded_chars))
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=[x.split()[0] for x in COUNTS.split(", ")])
-
-    return rows.mapInArrow(run, COUNTS)
-
-
-def with_redactions(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``text`` and the edits that replace personal data by its kind's name."""
+                    row = (doc, text, chars, own, before, 0, before, length, 0)
+                else:
+                    ends = np.cumsum([0, *chars]).tolist()
+                    tree, shift = CountTree([(text or "")[a:b] for a, b in zip(ends[:-1], ends[1:])], own), 0
+                    todo = in_order(todo, length)
+                    for a, b, new in todo:
+                        tree.edit(a + shift, b + shift, new, one)
+                        shift += len(new) - (b - a)
+                    row = (doc, tree.text() if keep_trees else None, *tree.leaves(), before, len(todo), tree.total, tree.length, tree.encoded_chars)
+                out.append(row if keep_trees else (doc, *row[4:]))
+            kinds = (pa.int64(), *((pa.string(), _INTS, _INTS) if keep_trees else ()), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
+
+    return rows.mapInArrow(run, schema)
+
+
+def with_redactions(trees: DataFrame) -> DataFrame:
+    """Trees with the edits that replace personal data by its kind's name."""
     from . import pii
 
     kind = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("text", pa.string())])
@@ -178,6 +213,6 @@ def with_redactions(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, _, _ in common.text_slices(batches):
             edits = [[{"start": a, "end": b, "text": f"<{k.upper()}>"} for k, a, b, _ in sorted(pii.spans(t or ""), key=lambda s: (s[1], -s[2]))] for t in part.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text"), pa.array(edits, pa.list_(kind))], names=["doc_id", "text", "edits"])
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(edits, pa.list_(kind))], names=[*part.schema.names, "edits"])
 
-    return common.pick(docs, {"doc_id": "long", "text": "string"}).mapInArrow(run, "doc_id long, text string, edits array<struct<start:int,end:int,text:string>>")
+    return trees.select("doc_id", "text", "leaf_chars", "leaf_tokens").mapInArrow(run, f"{TREES}, edits {EDITS}")
