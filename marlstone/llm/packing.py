@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -167,7 +166,3 @@ def sequences(packed: DataFrame) -> DataFrame:
     """The token ids of every sequence, from ``pack_documents(..., keep_ids=True)``; a sequence has at most its capacity of them."""
     parts = F.array_sort(F.collect_list(F.struct("offset", "ids")))
     return packed.groupBy("sequence_id").agg(F.flatten(F.transform(parts, lambda x: x["ids"])).alias("ids"))
-
-
-def total(lengths: list[int]) -> int:
-    return list(accumulate(lengths))[-1] if lengths else 0

@@ -18,10 +18,14 @@ move many times its size, so only those are sorted that can repeat:
    shares r bytes to the left and width - r to the right; the two sorted orders
    with their common-prefix lengths tell that for all rows of a group at once.
 
-An anchor's group is one task's work.  A group over ``GROUP_ROWS`` distinct
-segments (one passage between ever different neighbours) is not sorted in one
-task: its windows are dealt out by a 112-bit hash of all their bytes and
-counted with partial aggregation.
+An anchor's group is one task's work if it has at most ``GROUP_ROWS`` distinct
+segments.  A larger one (a passage between ever different neighbours) is dealt
+anew by longer context: its windows are halved by where the anchor stands in
+them, the windows of a half share more bytes around the anchor, and those
+bytes are the new key.  Parts that are equal to their last byte collapse to
+one; what is left is sorted like any group, or halved again.  A half of one
+place has the whole window as its key, so this ends after as many steps as the
+places have bits.
 
 Defined results: a null or empty text has no bytes.  Repeated rows are texts
 of their own (and repeat each other).  A null doc_id is kept.  An empty table
@@ -32,7 +36,9 @@ gives no rows.  Extra columns are ignored.  Segments are told apart by a
 from __future__ import annotations
 
 import hashlib
+import struct
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +47,7 @@ from pyspark.sql import functions as F
 
 from . import common
 
-WIDTH, ANCHOR, SHALLOW, GROUP_ROWS = 200, 32, 32, 20_000
+WIDTH, ANCHOR, SHALLOW, GROUP_ROWS = 200, 32, 32, 4096
 
 
 # --------------------------------------------------------------------------- deep-shallow sorting
@@ -300,36 +306,67 @@ _RUNS = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
 
 
 def _sorted_repeats(rows: DataFrame, width: int, anchor: int) -> DataFrame:
-    """Runs of repeated windows of each distinct segment, by anchor group."""
+    """Runs of repeated windows of each part of a segment seen once, by ``key``; ``off`` is the part's first window."""
     from .jaccard import _groups
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t, new in _groups(batches, ["anchor"]):
+        for t, new in _groups(batches, ["key"]):
             group = np.repeat(np.arange(len(new) - 1), np.diff(new))
             found = repeats([x.as_py() for x in t.column("bytes")], t.column("r").to_numpy().astype(np.int64), t.column("n").to_numpy().astype(np.int64), group, width, anchor)
             runs = [_runs(x) for x in found]
             once = t.column("m").to_numpy() == 1
             keep = [i for i, x in enumerate(runs) if x and once[i]]
             if keep:
-                segs = t.column("seg").to_pylist()
-                yield pa.RecordBatch.from_arrays([pa.array([segs[i] for i in keep], pa.binary()), pa.array([[{"a": a, "b": b} for a, b in runs[i]] for i in keep], _RUNS)], names=["seg", "at"])
+                segs, off = t.column("seg").to_pylist(), t.column("off").to_pylist()
+                yield pa.RecordBatch.from_arrays([pa.array([segs[i] for i in keep], pa.binary()), pa.array([[{"a": off[i] + a, "b": off[i] + b} for a, b in runs[i]] for i in keep], _RUNS)], names=["seg", "at"])
 
-    return rows.repartition("anchor").sortWithinPartitions("anchor", "seg").select("anchor", "seg", "r", "n", "m", "bytes").mapInArrow(run, _FOUND)
+    return rows.repartition("key").sortWithinPartitions("key", "seg", "off").select("key", "seg", "off", "r", "n", "m", "bytes").mapInArrow(run, _FOUND)
 
 
-def _dealt_anew(rows: DataFrame, width: int, anchor: int, group_rows: int) -> DataFrame:
-    """The same for hot anchors: windows are dealt by a hash of all their bytes, counted with partial aggregation."""
+_PART = "key long, sub binary, seg binary, off int, r int, n int, m long, lo int, hi int, bytes binary"
+
+
+def _halved(rows: DataFrame, width: int) -> DataFrame:
+    """Each part cut at the middle of its group's places ``lo`` to ``hi`` of the anchor, and keyed by the bytes that all windows of a half share."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
         for batch in batches:
-            for seg, b, n, r, m in zip(*(batch.column(c).to_pylist() for c in ("seg", "bytes", "n", "r", "m"))):
-                keys = [hashlib.blake2b(b[j : j + width], digest_size=14, salt=int(r - j).to_bytes(4, "little", signed=True)).digest() for j in range(n)]
-                yield pa.RecordBatch.from_arrays([pa.array([seg] * n, pa.binary()), pa.array([m] * n, pa.int64()), pa.array(range(n), pa.int32()), pa.array(keys, pa.binary())], names=["seg", "m", "j", "key"])
-
-    w = rows.select("seg", "bytes", "n", "r", "m").mapInArrow(run, "seg binary, m long, j int, key binary")
-    again = w.groupBy("key").agg(F.count(F.lit(1)).alias("times")).filter("times > 1").select(F.col("key").alias("k"))
-    hit = w.filter("m = 1").join(again, F.col("key") == F.col("k"), "left_semi")
-    return hit.groupBy("seg").agg(F.sort_array(F.collect_list(F.struct(F.col("j").alias("a"), (F.col("j") + 1).alias("b")))).alias("at"))
+            out = []
+            for seg, off, r, n, m, lo, hi, raw in zip(*(batch.column(c).to_pylist() for c in ("seg", "off", "r", "n", "m", "lo", "hi", "bytes"))):
+                mid = (lo + hi + 1) // 2
+                for a, b in ((lo, mid - 1), (mid, hi)):
+                    low, top = max(r - n + 1, a), min(r, b)
+                    if low > top:
+                        continue
+                    place = struct.pack("<4H", a, b, low, top)
+                    key = hashlib.blake2b(raw[r - a : r + width - b], digest_size=8, salt=place[:4]).digest()
+                    part = raw[r - top : r - low + width]
+                    sub = hashlib.blake2b(part, digest_size=14, salt=place).digest()
+                    out.append((int.from_bytes(key, "little", signed=True), sub, seg, off + r - top, top, top - low + 1, m, a, b, part))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=[x.split()[0] for x in _PART.split(", ")])
+
+    return rows.select("seg", "off", "r", "n", "m", "lo", "hi", "bytes").mapInArrow(run, _PART)
+
+
+def _all_repeats(scratch: common.Scratch, fetched: DataFrame, width: int, anchor: int, group_rows: int) -> DataFrame:
+    """Runs of repeated windows of all segments that were seen once."""
+    part = fetched.select(F.col("anchor").alias("key"), "seg", F.lit(0).alias("off"), "r", "n", "m", F.lit(0).alias("lo"), F.lit(width - anchor).alias("hi"), "bytes", "k")
+    cold, hot = part.filter(F.col("k") <= group_rows), part.filter(F.col("k") > group_rows).filter("lo < hi")
+    found = []
+    while True:
+        found.append(scratch.save(_sorted_repeats(cold, width, anchor), "repeats"))
+        if hot.isEmpty():
+            return reduce(DataFrame.unionByName, found)
+        part = scratch.save(_halved(hot, width), "halves")
+        of_sub = part.groupBy("sub").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("seg", "off")).alias("one")).select(F.col("sub").alias("c_sub"), "c", "one")
+        part = scratch.save(part.join(of_sub, F.col("sub") == F.col("c_sub")), "parts")
+        found.append(part.filter("c > 1 and m = 1").select("seg", F.array(F.struct(F.col("off").alias("a"), (F.col("off") + F.col("n")).alias("b"))).alias("at")))
+        part = part.filter(F.struct("seg", "off") == F.col("one")).withColumn("m", F.when(F.col("c") > 1, F.lit(2).cast("long")).otherwise(F.col("m")))
+        many = scratch.save(part.groupBy(F.col("key").alias("h_key")).agg(F.count(F.lit(1)).alias("k")).filter(F.col("k") > group_rows).select("h_key"), "hot")
+        same = F.col("key") == F.col("h_key")
+        cold, hot = part.join(many, same, "left_anti"), part.join(many, same, "left_semi").filter("lo < hi")
 
 
 def remove_repeats(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, group_rows: int = GROUP_ROWS, keep_text: bool = False) -> DataFrame:
@@ -366,19 +403,16 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, gr
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=["anchor", "k", "m", "seg", "r", "n", "bytes"])
 
     texts = rows.select(F.col("row").alias("t_row"), "text")
-    fetched = wanted.join(texts, F.col("row") == F.col("t_row")).select("text", "want").mapInArrow(fetch, "anchor long, k long, m long, seg binary, r int, n int, bytes binary")
+    one_each = wanted.join(texts, F.col("row") == F.col("t_row")).dropDuplicates(["row"])  # of repeated rows
+    fetched = one_each.select("text", "want").mapInArrow(fetch, "anchor long, k long, m long, seg binary, r int, n int, bytes binary")
     fetched = scratch.save(fetched, "bytes")
     scratch.release()
-    found = _sorted_repeats(fetched.filter(F.col("k") <= group_rows), width, anchor)
-    hot = fetched.filter(F.col("k") > group_rows)
-    if not hot.isEmpty():
-        found = found.unionByName(_dealt_anew(hot, width, anchor, group_rows))
-    found = scratch.save(found, "repeats")
+    found = _all_repeats(scratch, fetched, width, anchor, group_rows)
     # per text: window runs of its segments; a segment seen twice repeats as a whole
     whole = twice.select("seg", F.array(F.struct(F.lit(0).alias("a"), F.col("n").alias("b"))).alias("at"))
     runs = whole.unionByName(found).select(F.col("seg").alias("f_seg"), F.col("at").alias("runs"))
     hits = segs.join(runs, F.col("seg") == F.col("f_seg")).select("row", F.transform("runs", lambda x: F.struct((F.col("at") + x["a"]).alias("a"), (F.col("at") + x["b"] + F.lit(width - 1)).alias("b"))).alias("runs"))
-    per_row = hits.groupBy(F.col("row").alias("p_row")).agg(F.flatten(F.collect_list("runs")).alias("runs"))
+    per_row = hits.groupBy(F.col("row").alias("p_row")).agg(F.flatten(F.collect_set("runs")).alias("runs"))
     out_schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<a:int,b:int>>" + (", kept binary" if keep_text else "")
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
