@@ -8,13 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import corpus_pipeline
-
-from . import chat, counting, decontaminate, jaccard, packing, pii, quality, suffix, tokens, toxicity, urls
-
-#: Fixed rules of the URL query.
-URL_RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block")]
-
+from . import chat, common, counting, decontaminate, jaccard, oracles, packing, pii, quality, suffix, tokens, toxicity, urls
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -67,8 +61,10 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tokens of every document before and after its personal data are replaced by their kind's name."""
-    return counting.count(counting.with_redactions(_table(spark, sf_dir, "documents")), tokens.public_vocabulary())
+    """Tokens of every document before and after its personal data are replaced by their kind's name, from stored trees."""
+    vocabulary = tokens.public_vocabulary()
+    trees = common.Scratch(spark, "counting").save(counting.build(_table(spark, sf_dir, "documents"), vocabulary), "trees")
+    return counting.apply_edits(counting.with_redactions(trees), vocabulary, keep_trees=False)
 
 
 def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,7 +72,7 @@ def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = [urls.split_rule(r, v) for r, v in URL_RULES]
+    rules = [urls.split_rule(r, v) for r, v in oracles.URL_RULES]
     return urls.judge(_table(spark, sf_dir, "pages"), rules).select("page_id", "host", "path", "rule", "verdict")
 
 
@@ -98,14 +94,25 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
 
 
-def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return corpus_pipeline.run(spark, sf_dir)
+def quality_base_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part of op7 that SQL can express."""
+    return op7_quality_rules(spark, sf_dir).drop("kept")
+
+
+def pii_base_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part of op9 that SQL can express."""
+    return op9_pii(spark, sf_dir).drop("base_sha256", "spans")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_ngram_jaccard_join, op2_chat_formatting, op3_best_fit_packing, op4_token_counts, op5_suffix_array_dedup, op6_url_filters, op7_quality_rules, op8_benchmark_decontamination, op9_pii, op10_toxicity, pipeline]
+    import corpus_pipeline
+
+    def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return corpus_pipeline.run(spark, sf_dir)
+
+    found = [op1_ngram_jaccard_join, op2_chat_formatting, op3_best_fit_packing, op4_token_counts, op5_suffix_array_dedup, op6_url_filters, op7_quality_rules, op8_benchmark_decontamination, op9_pii, op10_toxicity, pipeline, quality_base_counts, pii_base_counts]
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_url_filters": oracles.URLS, "quality_base_counts": oracles.QUALITY_COUNTS, "pii_base_counts": oracles.PII_COUNTS}

@@ -163,12 +163,12 @@ def test_chat_round_trip():
         assert chat.unescape(e) == t and not any(c in e for c in chat.CONTROLS)
 
 
-@pytest.mark.parametrize("window", [4, 32])
-def test_chat_spans(spark, window):
+@pytest.mark.parametrize("whole_chars, window", [(0, 4), (300, 6), (chat.WHOLE_CHARS, 32)])
+def test_chat_spans(spark, whole_chars, window):
     rows = [(1, i, *t) for i, t in enumerate(TURNS * 7)] + [(2, 0, None, None), (2, 0, "assistant", "b"), (2, 0, "assistant", "b"), (None, 1, "user", "x")]
     d = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("span", F.lit(1))
     got = collections.defaultdict(list)
-    for r in chat.render_turns(d, window=window).collect():
+    for r in chat.render_turns(d, whole_chars=whole_chars, window=window).collect():
         got[r["conv_id"]].append(r)
     assert "".join(r["span"] for r in got[1]) == chat.instruct_template(TURNS * 7)
     assert [chat.unescape(r["span"][r["text_start"] : r["text_end"]]) for r in got[1]] == [t for _, t in TURNS * 7]
@@ -181,8 +181,40 @@ def test_chat_finds_rewritten_history():
     r = chat.Renderer(forgetful)
     r.add("user", "a")
     assert not r.rewrites
-    r.add("user", "b")
-    assert r.rewrites
+    assert r.add("user", "b")[:2] == ("-><b>", 1) and r.rewrites
+
+
+def test_chat_prefixes_are_whole():
+    """History that is rewritten far back, and turns that are numbered."""
+    last = chat.Renderer(lambda turns: "".join(f"<{t}>" for _, t in turns[-40:]))
+    numbered = chat.Renderer(lambda turns: "".join(f"{i}:{t};" for i, (_, t) in enumerate(turns)))
+    spans = []
+    for i in range(60):
+        last.add("user", f"t{i}")
+        assert last.rewrites == (i >= 40)
+        spans.append(numbered.add("user", f"t{i}"))
+    assert not numbered.rewrites and [s[0] for s in spans] == [f"{i}:t{i};" for i in range(60)]
+    assert [s[0][s[2] : s[3]] for s in spans] == [f"t{i}" for i in range(60)]
+    assert [s[1] for s in spans] == list(np.cumsum([0] + [len(s[0]) for s in spans[:-1]]))
+
+
+def test_chat_query_digests(spark, tmp_path):
+    """What the query returns, against digests of the table itself."""
+    from marlstone.llm import queries
+
+    r = random.Random(21)
+    rows = [(c, i, r.choice(["user", "assistant", "system", None]), r.choice([None, "", "x </s> y", "[INST]\\", "é ok " * 9])) for c in range(12) for i in range(r.randint(1, 30))]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    said = "</s>[INST] ok [/INST]"
+    rows += [(-1, 0, "user", said), (-1, 1, "assistant", said)]
+    got = {x["conv_id"]: x for x in queries.op2_chat_formatting(spark, str(tmp_path)).collect()}
+    assert len(got) == 13
+    for c, x in got.items():
+        own = [(role or "", text or "") for conv, _, role, text in rows if conv == c]
+        loss = "".join(text for role, text in own if role == "assistant")
+        digest = lambda t: hashlib.sha256(t.encode()).hexdigest()
+        assert (x["n_turns"], x["turns_sha256"], x["loss_chars"], x["loss_sha256"]) == (len(own), digest("".join(f"{a}\n{b}\n" for a, b in own)), len(loss), digest(loss))
+        assert x["formatted_chars"] == len(chat.instruct_template(own)) and not x["rewrites"]
 
 
 # ------------------------------------------------------------------ 3 and 4
@@ -264,8 +296,33 @@ def test_counts_after_edits(spark, vocabulary):
     rows.append((99, None, [(0, 5, "new text"), (None, 1, "x")]))
     want.append((99, 0, len(e.encode(["new text"])[0]), 8))
     d = spark.createDataFrame(rows, "doc_id long, text string, edits array<struct<start:int,end:int,text:string>>")
-    got = counting.count(d, vocabulary).collect()
+    edits = d.select("doc_id", F.explode("edits").alias("e")).select("doc_id", "e.*").withColumn("edits", F.lit(1))
+    trees = counting.build(d, vocabulary)
+    once = counting.apply_edits(counting.with_edits(trees, edits), vocabulary)
+    got = once.collect()
     assert sorted((x["doc_id"], x["n_tokens"], x["n_tokens_after"], x["n_chars_after"]) for x in got) == want
+    after = {x["doc_id"]: x["text"] or "" for x in got}
+    assert all(sum(x["leaf_chars"]) == len(after[x["doc_id"]]) and sum(x["leaf_tokens"]) == x["n_tokens_after"] for x in got)
+    # a second run on the trees that the first one left, without encoding what is not edited
+    again = spark.createDataFrame([(7, 1, 2, "zz"), (7, 0, 0, "top ")], "doc_id long, start int, end int, text string")
+    twice = {x["doc_id"]: x for x in counting.apply_edits(counting.with_edits(once, again), vocabulary).collect()}
+    new = "top " + after[7][:1] + "zz" + after[7][2:]
+    assert twice[7]["text"] == new and twice[7]["n_tokens_after"] == len(e.encode([new])[0])
+    assert all(x["encoded_chars"] == 0 and x["n_tokens_after"] == len(e.encode([after[i]])[0]) for i, x in twice.items() if i != 7)
+    assert counting.apply_edits(counting.with_edits(trees.limit(0), edits), vocabulary).count() == 0
+
+
+def test_counts_query(spark, vocabulary, tmp_path):
+    from marlstone.llm import queries
+
+    texts = ["mail a@b.co or call +1 (555) 010-9999 " + "word " * 300, "plain text", None, "", "4111 1111 1111 1111" * 3, "x y a@b.co"]
+    table(spark, texts).write.parquet(str(tmp_path / "documents.parquet"))
+    e = tokens.encoder(**vocabulary)
+    n = lambda t: len(e.plain(t)) if t else 0
+    got = {x["doc_id"]: x for x in queries.op4_token_counts(spark, str(tmp_path)).collect()}
+    for i, t in enumerate(texts):
+        assert (got[i]["n_tokens"], got[i]["n_tokens_after"]) == (n(t), n(pii.masked(t or "")))
+        assert got[i]["encoded_chars"] <= 40 + 4 * counting.LEAF_CHARS * got[i]["n_edits"]
 
 
 # ------------------------------------------------------------------ 5
@@ -284,7 +341,7 @@ def repeats(texts, w):
     return out
 
 
-@pytest.mark.parametrize("group_rows", [20_000, 2])
+@pytest.mark.parametrize("group_rows", [4096, 2])
 def test_suffix_dedup(spark, group_rows):
     r = random.Random(7)
     base = ["".join(r.choice("abcdé ") for _ in range(r.randint(0, 160))) for _ in range(20)]
@@ -299,6 +356,16 @@ def test_suffix_dedup(spark, group_rows):
     assert [got[i] for i in range(len(texts))] == repeats(texts, 30)
 
 
+def test_suffix_hot_passage(spark):
+    """One passage between ever different neighbours: its group is halved until it is small or alike."""
+    r = random.Random(19)
+    say = lambda n: "".join(r.choice("abcdefgh") for _ in range(n))
+    passage = say(45)
+    texts = [say(r.randint(0, 40)) + passage + say(r.randint(0, 40)) for _ in range(40)] + [passage[5:30] + say(20) for _ in range(3)] + [say(80)]
+    got = {x["doc_id"]: (x["n_bytes"], x["n_removed"], x["kept_sha256"]) for x in suffix.remove_repeats(table(spark, texts), 30, 12, 5).collect()}
+    assert [got[i] for i in range(len(texts))] == repeats(texts, 30)
+
+
 def test_suffix_repeated_rows(spark):
     t = "".join(random.Random(8).choice("abc") for _ in range(90))
     got = suffix.remove_repeats(table(spark, [t, t, "q" * 20], [1, 1, None]), 30, 12).collect()
@@ -339,6 +406,34 @@ def test_urls(spark):
     assert urls.judge(d.limit(0), rules).count() == 0
 
 
+def test_url_rule_table_equals_the_expression(spark):
+    r = random.Random(17)
+    host = lambda: ".".join(r.choice("ab") for _ in range(r.randint(1, 4)))
+    path = lambda: "".join("/" + r.choice(["", "x", "xy"]) for _ in range(r.randint(0, 3)))
+    rules = [(host(), path(), r.choice(["allow", "block"])) for _ in range(60)]
+    d = spark.createDataFrame([(i, f"http://{host()}{path()}", "") for i in range(200)] + [(200, None, None)], "page_id long, url string, html string")
+    assert sorted(map(tuple, urls.judge(d, rules).collect())) == sorted(map(tuple, urls.judge(d, rules, inline=0).collect()))
+
+
+def test_scores_are_personalised_pagerank(spark):
+    """Cycles, hubs and dead ends, against the linear system."""
+    from marlstone.llm import common
+
+    r = random.Random(18)
+    hosts = [f"h{i}" for i in range(40)]
+    edges = {(a, b) for a in hosts[:36] for b in r.sample(hosts, r.choice([1, 2, 9])) if a != b}
+    seed = {h: r.choice([0.0, 0.0, 0.4, 1.0]) for h in hosts}
+    move = np.zeros((40, 40))
+    for a, b in edges:
+        move[hosts.index(b), hosts.index(a)] = 1 / sum(x == a for x, _ in edges)
+    want = np.linalg.solve(np.eye(40) - urls.DAMPING * move, (1 - urls.DAMPING) * np.array([seed[h] for h in hosts]))
+    e = spark.createDataFrame(sorted(edges), "src string, dst string")
+    got = {x["host"]: x["score"] for x in urls.propagate(common.Scratch(spark, "rank"), spark.createDataFrame(list(seed.items()), "host string, seed double"), e).collect()}
+    assert max(abs(got.get(h, 0.0) - w) for h, w in zip(hosts, want)) < 6 * urls.TOLERANCE
+    with pytest.raises(RuntimeError):
+        urls.propagate(common.Scratch(spark, "rank"), spark.createDataFrame(list(seed.items()), "host string, seed double"), e, max_rounds=3)
+
+
 def test_distrust_flows_backwards(spark):
     link = lambda *hosts: "".join(f'<a href="http://{h}/">' for h in hosts)
     rows = [("http://bad.net/es/", ""), ("http://friend.org/", link("bad.net")), ("http://friend.org/2", link("bad.net", "bad.net")), ("http://clean.org/", link("good.com")), ("http://mixed.org/", link("good.com", "bad.net"))]
@@ -435,7 +530,7 @@ def test_decontamination(spark):
     d = table(spark, [" ".join(x) for x in docs] + [None, ""])
     b = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)] + [(7, None), (0, " ".join(items[0]))], "item_id long, text string")
     got = sorted((x["doc_id"], x["item_id"]) for x in decontaminate.overlaps(d, b).collect())
-    assert got == [(0, 0), (1, 0), (2, 1), (3, 2), (4, 3)]
+    assert got == [(0, 0), (1, 0), (2, 1), (3, 2), (4, 3), (5, 4)]  # the last one is three tokens, all alike
     assert sorted(x["doc_id"] for x in decontaminate.remove(d, b).collect()) == [5, 6, 7, 8, 9]
     assert decontaminate.overlaps(d, b.limit(0)).count() == 0 and decontaminate.overlaps(d.limit(0), b).count() == 0
 
@@ -444,12 +539,12 @@ def test_decontamination_removes_per_row(spark):
     item = " ".join(f"w{i}" for i in range(30))
     rows = [(None, item), (None, "clean"), (None, None), (3, "x " + item), (3, "other"), (4, "fine")]
     b = spark.createDataFrame([(0, item)], "item_id long, text string")
-    got = decontaminate.remove(table(spark, [t for _, t in rows], [i for i, _ in rows]), b).collect()
+    got = decontaminate.remove(table(spark, [t for _, t in rows], [i for i, _ in rows]).withColumns({c: F.lit(1) for c in ("bad_row", "bad_id", "region")}), b).collect()
     assert collections.Counter((r["doc_id"], r["text"]) for r in got) == collections.Counter([(None, "clean"), (None, None), (3, "other"), (4, "fine")])
 
 
 def test_decontamination_masks_reach_the_verdict():
-    for n in range(decontaminate.LEAST_ITEM, decontaminate.MIN_TOKENS + 1):
+    for n in range(1, decontaminate.MIN_TOKENS + 1):
         places = [sum(1 << (at + i) for i, c in enumerate(m) if c == "1") for m in decontaminate.masks(n) for at in range(n - len(m) + 1)]
         wrong = max(k for k in range(n) if n - k >= decontaminate.MIN_SHARE * n)
         for bad in itertools.combinations(range(n), wrong):
@@ -467,7 +562,7 @@ def best_windows(doc, item):
 def test_decontamination_brute_force(spark):
     r = random.Random(8)
     vocab = [f"w{i}" for i in range(300)]
-    items = [[r.choice(vocab) for _ in range(n)] for n in (*range(4, 26), 38)]
+    items = [[r.choice(vocab) for _ in range(n)] for n in (*range(2, 26), 38)]
     docs = []
     for item in items:
         for share in (0.1, 0.2, 0.25):
@@ -475,7 +570,7 @@ def test_decontamination_brute_force(spark):
             docs.append([r.choice(vocab) for _ in range(r.randint(0, 9))] + [r.choice(vocab) if i in bad else w for i, w in enumerate(item)] + [r.choice(vocab) for _ in range(r.randint(0, 9))])
     b = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string")
     got = {(x["doc_id"], x["item_id"]): (x["n_same"], x["n_window"]) for x in decontaminate.overlaps(table(spark, [" ".join(x) for x in docs]), b).collect()}
-    best = {(i, j): best_windows(d, item) for i, d in enumerate(docs) for j, item in enumerate(items) if len(item) >= 5}
+    best = {(i, j): best_windows(d, item) for i, d in enumerate(docs) for j, item in enumerate(items)}
     want = {pair: (same, n) for pair, (same, n) in best.items() if same >= 0.8 * n}
     assert got == want and len(want) > 30
 
@@ -517,6 +612,30 @@ def test_pii_context_and_checksums(spark):
     assert pii.find(d.limit(0)).count() == 0
 
 
+def test_pii_secrets():
+    kinds = lambda t: [s[0] for s in pii.spans(t)]
+    key = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
+    assert kinds(f'token = "{key}" x') == ["secret"] and kinds(f'TOKEN = "{key.upper()}"!!') == ["secret"]
+    assert kinds(f"commit {key}") == [] and kinds("token = aaaaaaaaaaaaaaaaaaaaaaaaaaaaaa1") == [] and kinds("password: " + "verylongwordwithoutanydigits") == []
+    assert pii.masked(f'a token = "{key}".') == 'a token = "<SECRET>".'
+    assert pii.spans("token " + "a1" * 200_000) == []  # linear, and too long
+
+
+def test_pii_query_digests(spark, tmp_path):
+    from marlstone.llm import queries
+
+    r = random.Random(15)
+    parts = ["a@b.co", "1.2.3.4", "300.2.3.4", "4111 1111 1111 1111", "+1 (555) 010-9999", "é", "word", "token 04dbebab91ab85687d33eeaaf9ac699e1188f962", "\n", "IBAN DE89370400440532013000"]
+    texts = [" ".join(r.choice(parts) for _ in range(r.randint(0, 12))) for _ in range(80)] + [None, ""]
+    table(spark, texts).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {x["doc_id"]: x for x in queries.op9_pii(spark, str(tmp_path)).collect()}
+    for i, t in enumerate(texts):
+        base = [s for s in base_spans(t or "")]
+        assert [got[i][f"n_{k}"] for k in pii.BASE_KINDS] == [sum(s[0] == k for s in base) for k in pii.BASE_KINDS]
+        assert got[i]["base_sha256"] == hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in base).encode()).hexdigest()
+        assert got[i]["spans"] == ",".join(f"{k}:{a}:{b}" for k, a, b, _ in pii.spans(t or ""))
+
+
 def test_pii_iban_ends_at_any_token():
     got = lambda t: [t[a:b] for k, a, b, _ in pii.spans(t) if k == "iban"]
     de, spaced, gb = "DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432"
