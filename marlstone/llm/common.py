@@ -334,13 +334,13 @@ def bounded_broadcast(spark: SparkSession, value: np.ndarray, limit_bytes: int):
 BLOOM_BITS, _BLOOM_RANGES = (16, 26), 64
 
 
-def bloom(hashes: DataFrame) -> np.ndarray:
-    """A Bloom filter of two places for each number in the only column of a written table: 16 bits a number or more, 8 MB at most.
+def bloom(hashes: DataFrame, per: int = 16) -> np.ndarray:
+    """A Bloom filter of two places for each number in the only column of a written table: ``per`` bits a number or more, 8 MB at most.
 
     Every task fills one of its own; ranges of them are joined in tasks.
     """
     least, most = BLOOM_BITS
-    bits = min(most, max(least, (16 * hashes.count()).bit_length()))
+    bits = min(most, max(least, (per * hashes.count()).bit_length()))
     column = hashes.columns[0]
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -363,7 +363,7 @@ def bloom(hashes: DataFrame) -> np.ndarray:
 
     size = (1 << bits) // _BLOOM_RANGES // 8
     out = np.zeros(1 << (bits - 3), np.uint8)
-    for r in hashes.select(F.col(column).cast("long")).mapInArrow(fill, "part int, bits binary").repartition("part").mapInArrow(join, "part int, bits binary").toLocalIterator():
+    for r in hashes.select(F.col(column).cast("long")).mapInArrow(fill, "part int, bits binary").repartition("part").mapInArrow(join, "part int, bits binary").collect():
         out[r["part"] * size : (r["part"] + 1) * size] = np.frombuffer(r["bits"], np.uint8)
     return out
 

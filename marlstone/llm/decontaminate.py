@@ -155,7 +155,7 @@ def _overlaps(docs: DataFrame, benchmark: DataFrame, least_item: int) -> DataFra
     scratch = common.Scratch(spark, "decontaminate")
     test = scratch.save(_test_side(benchmark, least_item), "test")
     seeds = test.select("item_id", F.explode("seeds").alias("s")).select("item_id", F.col("s.h").alias("h"), F.col("s.pos").alias("item_pos"))
-    bits = common.bounded_broadcast(spark, common.bloom(scratch.save(seeds.select("h"), "hashes")), 1 << (common.BLOOM_BITS[1] - 3))
+    bits = common.bounded_broadcast(spark, common.bloom(scratch.save(seeds.select("h"), "hashes"), per=1024), 1 << (common.BLOOM_BITS[1] - 3))
     windows = [r[0] for r in test.filter(F.size("item") >= max(1, least_item)).select(F.least(F.size("item"), F.lit(MIN_TOKENS))).distinct().collect()]
     used = sorted({m for w in windows for m in masks(w)})
     # a region is known by its content: equal ones of a document are one, and a hash shared by two only adds pairs to verify

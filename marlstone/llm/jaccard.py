@@ -50,7 +50,7 @@ COUNT_BITS, COUNT_RANGES = (18, 22), 64
 SKETCH_BITS = 2048  # of a posting's parities at most; a set's own may be longer
 BLOCK_ROWS = 8192
 SEEN_SETS = 200_000  # sets a task remembers, so that copies it meets make postings once
-ROUNDS = (1, 16, 256, None)  # pairs that a component may propose in a block; the last round has no bound
+ROUNDS = (8, 256, None)  # pairs that a component may propose in a block; the last round has no bound
 PAIRS_AT_ONCE = 1 << 18
 NO_ID = -(1 << 63)
 
@@ -149,7 +149,7 @@ def _count_table(scan: DataFrame, bits: int) -> np.ndarray:
 
     out = np.zeros(1 << bits, np.int64)
     size = (1 << bits) // COUNT_RANGES
-    for r in scan.filter("kind = 1").select("part", "counts").repartition("part").mapInArrow(run, "part int, counts binary").toLocalIterator():
+    for r in scan.filter("kind = 1").select("part", "counts").repartition("part").mapInArrow(run, "part int, counts binary").collect():
         out[r["part"] * size : (r["part"] + 1) * size] = np.frombuffer(r["counts"], np.int64)
     return out
 
