@@ -8,11 +8,13 @@ in one place.
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import threading
 import uuid
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that a numpy kernel holds at once; a longer single text goes alone.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 
 # --------------------------------------------------------------------------- shared folder
@@ -117,6 +119,21 @@ def sweep(spark: SparkSession, roots: list[str], docs: DataFrame) -> None:
 # --------------------------------------------------------------------------- arrow helpers
 
 
+def trims(task):
+    """A function for mapInArrow that gives what its task has freed back to the system: idle workers would hold it."""
+
+    @wraps(task)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from task(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+                trim(0)
+
+    return run
+
+
 def text_slices(batches: Iterable[pa.RecordBatch], text: str = "text", limit: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Slices of the batches with at most ``limit`` bytes of text each.
 
@@ -343,16 +360,18 @@ def bloom(hashes: DataFrame, per: int = 16) -> np.ndarray:
     bits = min(most, max(least, (per * hashes.count()).bit_length()))
     column = hashes.columns[0]
 
+    @trims
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(1 << bits, bool)
+        table = np.zeros(1 << (bits - 3), np.uint8)
         for b in batches:
             for at in _bloom_places(b.column(0).to_numpy().view(np.uint64), bits):
-                table[at] = True
+                np.bitwise_or.at(table, at >> 3, (128 >> (at & 7)).astype(np.uint8))
         if table.any():
-            parts = [np.packbits(x).tobytes() if x.any() else b"" for x in np.split(table, _BLOOM_RANGES)]
+            parts = [x.tobytes() if x.any() else b"" for x in np.split(table, _BLOOM_RANGES)]
             rows = [i for i, x in enumerate(parts) if x]
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int32()), pa.array([parts[i] for i in rows], pa.binary())], names=["part", "bits"])
 
+    @trims
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[int, np.ndarray] = {}
         for b in batches:

@@ -149,6 +149,7 @@ _INTS = pa.list_(pa.int32())
 def build(docs: DataFrame, vocabulary: dict[str, str]) -> DataFrame:
     """The trees of ``docs`` (doc_id, text), all leaves encoded."""
 
+    @common.trims
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = tokens.encoder(**vocabulary)
         for part, _, _ in common.text_slices(batches):
@@ -178,6 +179,7 @@ def apply_edits(trees: DataFrame, vocabulary: dict[str, str], keep_trees: bool =
     rows = trees.select("doc_id", "text", "leaf_chars", "leaf_tokens", F.col("edits").cast(EDITS).alias("edits"))
     schema = (TREES if keep_trees else "doc_id long") + ", " + COUNTS
 
+    @common.trims
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = tokens.encoder(**vocabulary)
         one = lambda t: len(enc.encode([t])[0])
@@ -210,6 +212,7 @@ def with_redactions(trees: DataFrame) -> DataFrame:
 
     kind = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("text", pa.string())])
 
+    @common.trims
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, _, _ in common.text_slices(batches):
             edits = [[{"start": a, "end": b, "text": f"<{k.upper()}>"} for k, a, b, _ in sorted(pii.spans(t or ""), key=lambda s: (s[1], -s[2]))] for t in part.column("text").to_pylist()]

@@ -86,6 +86,7 @@ def _item_seeds(tokens: np.ndarray, least_item: int) -> list[np.ndarray]:
 def _test_side(benchmark: DataFrame, least_item: int) -> DataFrame:
     """One row an item: its tokens, and its seeds as (hash, place)."""
 
+    @common.trims
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offsets in common.text_slices(batches):
             tok, first = _tokens(data, offsets)
@@ -104,6 +105,7 @@ def _regions(rows: DataFrame, bits, used: list[str]) -> DataFrame:
     kind = rows.schema["doc_id"].dataType.simpleString()
     hit = pa.struct([("h", pa.int64()), ("pos", pa.int32())])
 
+    @common.trims
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = bits.value
         for part, data, offsets in common.text_slices(batches):
@@ -155,7 +157,7 @@ def _overlaps(docs: DataFrame, benchmark: DataFrame, least_item: int) -> DataFra
     scratch = common.Scratch(spark, "decontaminate")
     test = scratch.save(_test_side(benchmark, least_item), "test")
     seeds = test.select("item_id", F.explode("seeds").alias("s")).select("item_id", F.col("s.h").alias("h"), F.col("s.pos").alias("item_pos"))
-    bits = common.bounded_broadcast(spark, common.bloom(scratch.save(seeds.select("h"), "hashes"), per=1024), 1 << (common.BLOOM_BITS[1] - 3))
+    bits = common.bounded_broadcast(spark, common.bloom(scratch.save(seeds.select("h"), "hashes"), per=256), 1 << (common.BLOOM_BITS[1] - 3))
     windows = [r[0] for r in test.filter(F.size("item") >= max(1, least_item)).select(F.least(F.size("item"), F.lit(MIN_TOKENS))).distinct().collect()]
     used = sorted({m for w in windows for m in masks(w)})
     # a region is known by its content: equal ones of a document are one, and a hash shared by two only adds pairs to verify
@@ -164,6 +166,7 @@ def _overlaps(docs: DataFrame, benchmark: DataFrame, least_item: int) -> DataFra
     diagonals = hits.join(seeds, F.col("d_h") == F.col("h")).select("region", "item_id", (F.col("pos") - F.col("item_pos")).alias("diagonal")).distinct()
     pairs = diagonals.join(regions.select(F.col("region").alias("r_region"), "doc_id", "tokens"), F.col("region") == F.col("r_region")).join(test.select(F.col("item_id").alias("t_item"), "item").distinct(), F.col("item_id").eqNullSafe(F.col("t_item")))
 
+    @common.trims
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []

@@ -118,6 +118,7 @@ _SCAN = "kind int, doc_id long, key long, n long, sig long, sketch binary, odd b
 def _scan(docs: DataFrame, k: int, bits: int) -> DataFrame:
     """For each text its set's size, hash and parities (kind 0; ``odd`` only where it exceeds a sketch); for each task its shingle counts (kind 1)."""
 
+    @common.trims
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.split()[0] for x in _SCAN.split(", ")]
         counts = np.zeros(1 << bits, np.uint32)
@@ -139,6 +140,7 @@ def _scan(docs: DataFrame, k: int, bits: int) -> DataFrame:
 def _count_table(scan: DataFrame, bits: int) -> np.ndarray:
     """The tasks' counts summed, a range of them at a time in a task; 2 ** bits numbers."""
 
+    @common.trims
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
         for b in batches:
@@ -157,6 +159,7 @@ def _count_table(scan: DataFrame, bits: int) -> np.ndarray:
 def _postings(docs: DataFrame, k: int, percent: int, counts, block: int) -> DataFrame:
     """The rare-first prefix of every set, once a task; ``salt`` is -1 unless the shingle is hot."""
 
+    @common.trims
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = counts.value
         mask = np.uint64(len(table) - 1)
@@ -214,6 +217,7 @@ def _meetings(postings: DataFrame, block: int) -> DataFrame:
     A shingle's rows stream past; of those that a batch does not end, only the first is held.
     """
 
+    @common.trims
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, count, last, held = None, 0, None, None  # of the group that the batch before ended in
         for batch in batches:
@@ -274,6 +278,7 @@ def _class_sets(docs: DataFrame, scratch: common.Scratch, pairs: DataFrame, memb
     wanted = scratch.save(reps.join(_nodes(pairs), F.col("m_node") == F.col("node"), "left_semi").select("h"), "wanted")
     bits = common.bounded_broadcast(docs.sparkSession, common.bloom(wanted), 1 << (common.BLOOM_BITS[1] - 3))
 
+    @common.trims
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()  # of repeated rows; so a set need not come twice from a task
         some = (b.filter(pa.array(common.in_bloom(bits.value, b.column(0).to_numpy().view(np.uint64)))) for b in batches)
@@ -301,6 +306,7 @@ def _near_enough(scratch: common.Scratch, pairs: DataFrame, members: DataFrame,
     j = pairs.join(odd.select(F.col("m_node").alias("a"), F.col("odd").alias("odd_a")), "a")
     j = j.join(odd.select(F.col("m_node").alias("b"), F.col("odd").alias("odd_b")), "b")
 
+    @common.trims
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             both = pc.struct_field(batch.column(0), "n").to_numpy() + pc.struct_field(batch.column(1), "n").to_numpy()
@@ -330,6 +336,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     j = pairs.join(sets.select(F.struct("n", "sig").alias("a"), F.col("shingles").alias("s_a")), "a")
     j = j.join(sets.select(F.struct("n", "sig").alias("b"), F.col("shingles").alias("s_b")), "b")
 
+    @common.trims
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x, y = batch.column(2), batch.column(3)
@@ -429,6 +436,7 @@ def _cross_pairs(meet: DataFrame, percent: int, most: int | None) -> DataFrame:
     rows = plain.select(*columns).unionByName(hot.select(*columns)).repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
     node = pa.struct([("n", pa.int64()), ("sig", pa.int64())])
 
+    @common.trims
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t, new in _groups(batches, ["token", "i", "j"]):
             n, sig = t.column("n").to_numpy(), t.column("sig").to_numpy()
@@ -573,6 +581,7 @@ def _with_sets(docs: DataFrame, k: int, own_n: str, own_sig: str) -> DataFrame:
     n, (whole,) = len(docs.columns), common.free(docs, "text_")
     schema = docs.select("*", F.lit(0).cast("long").alias(own_n), F.lit(0).cast("long").alias(own_sig)).schema
 
+    @common.trims
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, sets in _sets(batches, k, whole):
             names = [*part.schema.names[:n], own_n, own_sig]

@@ -100,6 +100,7 @@ def tokenize_pieces(docs: DataFrame, capacity: int, end_id: int, vocabulary: dic
     rows = common.pick(docs, {"doc_id": "long", "text": "string"})
     schema = PIECES + (", ids array<int>" if keep_ids else "")
 
+    @common.trims
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = tokens.encoder(**vocabulary)
         for part, _, _ in common.text_slices(batches):

@@ -162,6 +162,7 @@ SPANS = "array<struct<kind:string,start:int,end:int,score:double>>"
 def find(docs: DataFrame) -> DataFrame:
     """``doc_id`` and ``spans`` (kind, start, end, score; code points, end exclusive) of every row."""
 
+    @common.trims
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, _, _ in common.text_slices(batches):
             found = [[dict(zip(("kind", "start", "end", "score"), s)) for s in spans(t or "")] for t in part.column("text").to_pylist()]
@@ -185,6 +186,7 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     out = [f.name for f in docs.schema.fields]
     i = out.index(text)
 
+    @common.trims
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, _, _ in common.text_slices(batches, text):
             new = pa.array([None if t is None else masked(t) for t in part.column(i).to_pylist()], part.schema.field(i).type)

@@ -22,6 +22,7 @@ def _read_back(rows: DataFrame, parse: Callable = chat.parse_instruct) -> DataFr
     """One row a conversation, from the formatted spans alone: roles and texts are parsed out of them."""
     schema = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, rewrites boolean"
 
+    @common.trims
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
 

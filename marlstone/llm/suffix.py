@@ -234,6 +234,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 def _scan(rows: DataFrame, width: int, anchor: int) -> DataFrame:
     """All segments: the text's row number, first window, number of windows, r of the first window, anchor, content hash."""
 
+    @common.trims
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offsets in common.text_slices(batches):
             row = part.column("row").to_numpy()
@@ -309,6 +310,7 @@ def _sorted_repeats(rows: DataFrame, width: int, anchor: int) -> DataFrame:
     """Runs of repeated windows of each part of a segment seen once, by ``key``; ``off`` is the part's first window."""
     from .jaccard import _groups
 
+    @common.trims
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t, new in _groups(batches, ["key"]):
             group = np.repeat(np.arange(len(new) - 1), np.diff(new))
@@ -329,6 +331,7 @@ _PART = "key long, sub binary, seg binary, off int, r int, n int, m long, lo int
 def _halved(rows: DataFrame, width: int) -> DataFrame:
     """Each part cut at the middle of its group's places ``lo`` to ``hi`` of the anchor, and keyed by the bytes that all windows of a half share."""
 
+    @common.trims
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = (pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
         for batch in batches:
@@ -392,6 +395,7 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, gr
     scratch.release()
     wanted = rest.select("one.row", F.struct(F.col("one.at").alias("at"), "n", "r", "anchor", "k", "m", "seg").alias("w")).groupBy("row").agg(F.collect_list("w").alias("want"))
 
+    @common.trims
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
@@ -415,6 +419,7 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, gr
     per_row = hits.groupBy(F.col("row").alias("p_row")).agg(F.flatten(F.collect_set("runs")).alias("runs"))
     out_schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<a:int,b:int>>" + (", kept binary" if keep_text else "")
 
+    @common.trims
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offsets in common.text_slices(batches):
             out, kept = [], []

@@ -117,6 +117,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_train: i
     chosen = lab.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train)
     texts = common.pick(docs, {"doc_id": "long", "text": "string"}).join(F.broadcast(chosen), "doc_id")  # at most max_train rows
 
+    @common.trims
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offsets in common.text_slices(batches):
             t, f, x, n = _features(data, offsets)
@@ -144,6 +145,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     weights = common.bounded_broadcast(docs.sparkSession, model.weights, 4 << BITS)
     thresholds = model.thresholds
 
+    @common.trims
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = Model(weights.value, thresholds)
         for part, data, offsets in common.text_slices(batches):
