@@ -10,14 +10,14 @@ from .text import trim_u
 
 
 def parse_bbox(box: Column) -> Column:
-    """struct(x1, y1, x2, y2) of the first four numbers; raises (ANSI) where one is missing or no integer."""
+    """struct(x1, y1, x2, y2) of the first four numbers; raises (ANSI) where one is missing or no number.  Wide numbers are clamped later, so none overflows."""
     parts = F.split(trim_u(box), r"(?U)\s+")
-    return F.struct(*[F.element_at(parts, i + 1).cast("int").alias(n) for i, n in enumerate(("x1", "y1", "x2", "y2"))])
+    return F.struct(*[F.element_at(parts, i + 1).cast("double").alias(n) for i, n in enumerate(("x1", "y1", "x2", "y2"))])
 
 
 def on_grid(v: Column, size: Column) -> Column:
     """Half-even rounding, clamped at both ends."""
-    return F.least(F.lit(LOC_SCALE - 1), F.greatest(F.lit(0), F.rint(v / size * LOC_SCALE).cast("int")))
+    return F.least(F.lit(LOC_SCALE - 1.0), F.greatest(F.lit(0.0), F.rint(v / size * LOC_SCALE))).cast("int")
 
 
 def loc(box: Column, width: Column, height: Column) -> Column:

@@ -38,17 +38,16 @@ def median_bits(values: Column) -> Column:
 def simhash(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key`` and ``sig``: signs of the summed md5 bits of the distinct tokens; null without tokens."""
 
-    def one(t: str | None) -> int | None:
-        words = {w for w in _SPACE.split(t or "") if w}
-        if not words:
-            return None
-        raw = np.frombuffer(b"".join(hashlib.md5(w.encode()).digest()[:8] for w in words), np.uint8).reshape(-1, 8)
-        up = np.unpackbits(raw, axis=1).sum(axis=0, dtype=np.int64) * 2 > len(words)
-        return int(np.packbits(up).view(">i8")[0])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([one(t) for t in b.column(1).to_pylist()], pa.int64())], names=["key", "sig"])
+            texts = [{w for w in _SPACE.split(t or "") if w} for t in b.column(1).to_pylist()]
+            number = {w: i for i, w in enumerate({w for words in texts for w in words})}  # of each distinct word of the batch
+            raw = np.frombuffer(b"".join(hashlib.md5(w.encode()).digest()[:8] for w in number), np.uint8).reshape(-1, 8)
+            bits, out = np.unpackbits(raw, axis=1), []
+            for words in texts:
+                up = bits[[number[w] for w in words]].sum(axis=0, dtype=np.int64) * 2 > len(words) if words else None
+                out.append(None if up is None else int(np.packbits(up).view(">i8")[0]))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.int64())], names=["key", "sig"])
 
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, f"key {kind}, sig bigint").withColumnRenamed("key", key)

@@ -47,6 +47,6 @@ def bad_boxes(regions: Column) -> Column:
 def convert(pages: DataFrame, html: str = "html", width: str = "img_w", height: str = "img_h") -> DataFrame:
     """pages with ``doctags`` and ``error``: a page with a box that is no four integers, or without a size, fails alone."""
     d = with_regions(pages, html)
-    failed = bad_boxes(F.col("regions")) | ((F.size("regions") > 0) & (F.coalesce(F.col(width), F.lit(0)) <= 0) | (F.coalesce(F.col(height), F.lit(0)) <= 0))
+    failed = bad_boxes(F.col("regions")) | ((F.size("regions") > 0) & ((F.coalesce(F.col(width), F.lit(0)) <= 0) | (F.coalesce(F.col(height), F.lit(0)) <= 0)))
     d = d.withColumn("error", F.when(failed, "bad bounding box or page size"))
     return d.withColumn("doctags", F.when(F.col("error").isNull(), document(F.col("regions"), F.col(width), F.col(height)))).drop("regions")

@@ -9,6 +9,7 @@ from html.parser import HTMLParser
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 SILENT = frozenset(("script", "style"))
@@ -103,22 +104,19 @@ def regions(html: str) -> list[dict]:
     return out
 
 
-REGIONS = "array<struct<ord:int,label:string,bbox:string,text:string,table_html:string,has_image:boolean,alt:string,items:array<string>>>"
-_REGION = pa.list_(pa.struct([("ord", pa.int32()), ("label", pa.string()), ("bbox", pa.string()), ("text", pa.string()), ("table_html", pa.string()), ("has_image", pa.bool_()), ("alt", pa.string()), ("items", pa.list_(pa.string()))]))
+_FIELDS = {"ord": (pa.int32(), T.IntegerType()), **dict.fromkeys(("label", "bbox", "text", "table_html"), (pa.string(), T.StringType())), "has_image": (pa.bool_(), T.BooleanType()), "alt": (pa.string(), T.StringType()), "items": (pa.list_(pa.string()), T.ArrayType(T.StringType()))}
+_REGION = pa.list_(pa.struct([(n, t) for n, (t, _) in _FIELDS.items()]))
+REGIONS = T.ArrayType(T.StructType([T.StructField(n, t) for n, (_, t) in _FIELDS.items()]))
 
 
-def with_regions(df: DataFrame, html: str = "html") -> DataFrame:
-    """df with an array column ``regions``; null html has none."""
-    names = df.columns
-    i = names.index(html)
+@F.arrow_udf(REGIONS)
+def _regions(html: pa.Array) -> pa.Array:
+    return pa.array([regions(h or "") for h in html.to_pylist()], _REGION)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            found = pa.array([regions(h or "") for h in b.column(i).to_pylist()], _REGION)
-            yield pa.RecordBatch.from_arrays([*b.columns, found], names=[*names, "regions"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    return df.mapInArrow(run, f"{schema}, regions {REGIONS}")
+def with_regions(df: DataFrame, html: str = "html") -> DataFrame:
+    """df with an array column ``regions``; null html has none.  Only the html goes to Python."""
+    return df.withColumn("regions", _regions(F.col(html)))
 
 
 def exploded(df: DataFrame) -> DataFrame:

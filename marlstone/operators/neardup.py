@@ -1,41 +1,49 @@
 """Near duplicates of 64-bit signatures: candidates by equal bands, then a greedy choice in order.
 
-Two signatures at distance 7 or less agree in one of eight bands of eight
-bits, so an equi-join on (band, value) finds every pair; nothing is compared
-all with all.  Rows with equal signatures are collapsed before the join, which
-is what makes a band's hot value mostly harmless; adaptive execution splits
-the rest.  The greedy choice keeps a row unless an earlier kept row is near:
-the lexicographically first maximal independent set, found in rounds.
+Two signatures at distance 7 or less differ by one bit at most in one of four
+bands of sixteen bits.  So an equi-join of (band, value) with every value that
+is one bit or none away (17 probes a band) finds each pair, and of two random
+signatures about one pair in a thousand meets; nothing is compared all with
+all.  Rows with equal signatures are collapsed before the join; adaptive
+execution splits the values that stay hot.  The greedy choice keeps a row
+unless an earlier kept row is near: the lexicographically first maximal
+independent set, found in rounds.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.signature import hamming
 from ..options import HAMMING_BELOW
 from ..sources.scratch import written
 
-BANDS = 8
+BANDS, WIDTH = 4, 16
+FARTHEST = 2 * BANDS - 1  # with more differing bits, every band may have two
 
 
-def bands(df: DataFrame, *keep: str) -> DataFrame:
-    """One row for each band of ``sig``: band, value."""
-    parts = F.array(*[F.shiftrightunsigned("sig", 8 * i).bitwiseAND(F.lit(255)) for i in range(BANDS)])
-    return df.select(*keep, "sig", F.posexplode(parts).alias("band", "value"))
+def _band(sig: Column, i: int) -> Column:
+    return F.shiftrightunsigned(sig, WIDTH * i).bitwiseAND(F.lit((1 << WIDTH) - 1))
+
+
+def bands(df: DataFrame, probes: bool = False) -> DataFrame:
+    """A row for each band of ``sig`` (band, value); with ``probes`` also for every value one bit away."""
+    d = df.select("sig", F.posexplode(F.array(*[_band(F.col("sig"), i) for i in range(BANDS)])).alias("band", "value"))
+    flips = F.explode(F.array(*[F.lit(x).cast("long") for x in (0, *(1 << i for i in range(WIDTH)))]))
+    return d.select("sig", "band", "value", flips.alias("flip")).select("sig", "band", F.col("value").bitwiseXOR(F.col("flip")).alias("value")) if probes else d
 
 
 def near_pairs(left: DataFrame, right: DataFrame, below: int = HAMMING_BELOW) -> DataFrame:
     """Distinct (l_sig, r_sig, distance) with distance < below between two tables of distinct signatures."""
-    if not 1 <= below <= BANDS:
-        raise ValueError(f"bands find distances below {BANDS + 1} at most")
-    a = bands(left).select(F.col("sig").alias("l_sig"), "band", "value")
+    if not 1 <= below <= FARTHEST + 1:
+        raise ValueError(f"bands find distances up to {FARTHEST}")
+    a = bands(left, probes=True).select(F.col("sig").alias("l_sig"), "band", "value")
     b = bands(right).select(F.col("sig").alias("r_sig"), "band", "value")
     d = hamming(F.col("l_sig"), F.col("r_sig"))
-    # of the bands a pair agrees in only the first one counts, so the pair needs no distinct()
+    # of the bands a pair meets in only the first one counts, so the pair needs no distinct()
     x = F.col("l_sig").bitwiseXOR(F.col("r_sig"))
-    first = F.coalesce(*[F.when(F.shiftrightunsigned(x, 8 * i).bitwiseAND(F.lit(255)) == 0, F.lit(i)) for i in range(BANDS)])
+    first = F.coalesce(*[F.when(F.bit_count(_band(x, i)) <= 1, F.lit(i)) for i in range(BANDS)])
     return a.join(b, ["band", "value"]).filter((d < below) & (first == F.col("band"))).select("l_sig", "r_sig", d.alias("distance"))
 
 
@@ -53,6 +61,8 @@ def greedy(batch: DataFrame, order: str, index: DataFrame | None = None, below:
     """
     rows = batch if index is None else unseen(batch, index, below)
     rows = written(rows, "greedy-rows")
+    if not rows.groupBy(order).count().filter("count > 1").isEmpty():
+        raise ValueError(f"{order} is not unique")
     first = rows.filter("sig is not null").groupBy("sig").agg(F.min(order).alias("at"))
     first = written(first, "greedy-first")
     at = lambda side: first.select(F.col("sig").alias(f"{side}_sig"), F.col("at").alias(f"{side}_at"))

@@ -10,11 +10,11 @@ from ..sources.scratch import written
 
 def numbered(df: DataFrame, order: list[str], name: str = "n") -> DataFrame:
     """df with its place in the order, from 1: range partitions are numbered by themselves and shifted by those before."""
-    parts = written(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "numbered")
+    placed = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    parts = written(placed, "numbered").withColumn("_part", F.shiftright("_at", 33)).withColumn("_i", F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + 1).drop("_at")
     counts = parts.groupBy("_part").agg(F.count(F.lit(1)).alias("_c"))
     shift = counts.withColumn("_shift", F.sum("_c").over(Window.orderBy("_part")) - F.col("_c")).drop("_c")  # a row for each partition
-    inner = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
-    return parts.withColumn("_i", inner).join(shift, "_part").withColumn(name, (F.col("_i") + F.col("_shift")).cast("long")).drop("_part", "_i", "_shift")
+    return parts.join(F.broadcast(shift), "_part").withColumn(name, (F.col("_i") + F.col("_shift")).cast("long")).drop("_part", "_i", "_shift")
 
 
 def batches(df: DataFrame, order: list[str], size: int) -> DataFrame:

@@ -66,12 +66,11 @@ def scan_filter_suffix(spark, sf_dir):
     return d.select("page_id", text.suffix(F.col("path")).alias("ext")).filter(F.col("ext").isin(".html", ".pdf", ".png"))
 
 
-@query("""SELECT page_id, path FROM (SELECT page_id, CASE WHEN page_id % 2 = 0 THEN 'manifests/' ELSE 'images/' END || page_id || CASE WHEN page_id % 3 = 0 THEN '.jsonl' ELSE '.png' END AS path FROM pages)
+@query("""SELECT doc_id, path FROM (SELECT doc_id, CASE WHEN lang = 'en' THEN 'manifests/' ELSE 'images/' END || doc_id || CASE WHEN n_chars >= 1000 THEN '.jsonl' ELSE '.png' END AS path FROM documents)
           WHERE starts_with(path, 'manifests/') AND ends_with(path, '.jsonl')""")
 def manifest_path_filter(spark, sf_dir):
-    i = F.col("page_id")
-    path = F.concat(F.when(i % 2 == 0, "manifests/").otherwise("images/"), i.cast("string"), F.when(i % 3 == 0, ".jsonl").otherwise(".png"))
-    return table(spark, sf_dir, "pages").select("page_id", path.alias("path")).filter(text.is_manifest(F.col("path")))
+    path = F.concat(F.when(F.col("lang") == "en", "manifests/").otherwise("images/"), F.col("doc_id").cast("string"), F.when(F.col("n_chars") >= 1000, ".jsonl").otherwise(".png"))
+    return table(spark, sf_dir, "documents").select("doc_id", path.alias("path")).filter(text.is_manifest(F.col("path")))
 
 
 @query("""SELECT md5(source || '|' || doc_id) AS sample_id, 'images/' || md5(source || '|' || doc_id) || '.png' AS image_path, 'manifests/' || md5(source || '|' || doc_id) || '.jsonl' AS manifest_path,
@@ -117,17 +116,18 @@ def saved_count(spark, sf_dir):
     return outcome.saved(e.crossJoin(F.broadcast(least)).select(F.when(F.col("event_type") == F.col("least"), "saved").otherwise("failed").alias("status")))
 
 
-@query("""WITH t AS (SELECT source AS source_file, count(*) AS total FROM documents GROUP BY source), d AS (SELECT source, count(*) AS n FROM documents WHERE doc_id % 10 <> 0 OR source = 'src1' GROUP BY source)
+@query("""WITH t AS (SELECT source AS source_file, count(*) AS total FROM documents GROUP BY source), d AS (SELECT source, count(*) AS n FROM documents WHERE doc_id IN (SELECT doc_id FROM labels) GROUP BY source)
           SELECT source_file, total, total - coalesce(n, 0) AS remaining, CASE WHEN total - coalesce(n, 0) <= 0 THEN 'done' ELSE 'queued' END AS state FROM t LEFT JOIN d ON source = source_file""")
 def source_progress(spark, sf_dir):
+    """Documents of each source, and how many have no label yet."""
     d = table(spark, sf_dir, "documents").select(F.col("source").alias("source_file"), "doc_id")
-    return outcome.progress(d.filter("doc_id % 10 <> 0 or source_file = 'src1'"), d.groupBy("source_file").agg(F.count(F.lit(1)).alias("total")))
+    return outcome.progress(d.join(table(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_semi"), d.groupBy("source_file").agg(F.count(F.lit(1)).alias("total")))
 
 
 @query("""SELECT event_type, count(*) FILTER (WHERE value <= 1.0) AS le_1_0, count(*) FILTER (WHERE value <= 10.0) AS le_10_0, count(*) FILTER (WHERE value <= 100.0) AS le_100_0,
-          count(value) AS n FROM events GROUP BY event_type""")
+          round(sum(value), 3) AS total, count(value) AS n FROM events GROUP BY event_type""")
 def latency_histogram(spark, sf_dir):
-    return outcome.histogram(table(spark, sf_dir, "events"), "value", (1.0, 10.0, 100.0), "event_type").drop("total")
+    return outcome.histogram(table(spark, sf_dir, "events"), "value", (1.0, 10.0, 100.0), "event_type").withColumn("total", F.round("total", 3))
 
 
 @query("SELECT event_type, arg_max(value, (ts, event_id)) AS last FROM events GROUP BY event_type")
@@ -165,9 +165,9 @@ def split_sizes(spark, sf_dir):
 # ------------------------------------------------------------------ joins and set operations
 
 
-@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderkey % 7 = 0)")
+@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'F')")
 def known_files_antijoin(spark, sf_dir):
-    known = table(spark, sf_dir, "orders").filter("o_orderkey % 7 = 0").select(F.col("o_custkey").alias("c_custkey"))
+    known = table(spark, sf_dir, "orders").filter("o_orderstatus = 'F'").select(F.col("o_custkey").alias("c_custkey"))
     return files.new_files(table(spark, sf_dir, "customer").select("c_custkey"), known, "c_custkey")
 
 
@@ -201,10 +201,11 @@ def hamming_pairs(spark, sf_dir):
     return neardup.near_pairs(u, u).filter("l_sig <> r_sig").select(signature.to_hex(F.col("l_sig")).alias("a_sig"), signature.to_hex(F.col("r_sig")).alias("b_sig"), F.col("distance").cast("int").alias("distance"))
 
 
-@query(f"WITH {SIMHASH_SQL.strip()} SELECT doc_id FROM documents p WHERE doc_id % 2 = 1 AND NOT EXISTS (SELECT 1 FROM sigs a JOIN sigs b ON bit_count(xor(a.sig, b.sig)) < 8 WHERE a.doc_id = p.doc_id AND b.doc_id % 2 = 0)")
+@query(f"WITH {SIMHASH_SQL.strip()} SELECT doc_id FROM documents p WHERE source <> 'src1' AND NOT EXISTS (SELECT 1 FROM sigs a JOIN sigs b ON bit_count(xor(a.sig, b.sig)) < 8 JOIN documents i ON i.doc_id = b.doc_id WHERE a.doc_id = p.doc_id AND i.source = 'src1')")
 def neardup_index_antijoin(spark, sf_dir):
-    s = _signatures(spark, sf_dir)
-    return neardup.unseen(s.filter("doc_id % 2 = 1"), s.filter("doc_id % 2 = 0")).select("doc_id")
+    """All other sources' documents against an index of one source."""
+    d = table(spark, sf_dir, "documents")
+    return neardup.unseen(signature.simhash(d.filter("source <> 'src1'")), signature.simhash(d.filter("source = 'src1'"))).select("doc_id")
 
 
 @query(GREEDY_SQL + "SELECT doc_id FROM chosen")
@@ -229,8 +230,8 @@ def loc_tokens(spark, sf_dir):
 
 
 def _layout_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A layout page for each document, made of its first line: one region of each kind."""
-    line = F.regexp_replace(F.split_part("text", F.lit("\n"), F.lit(1)), r"[&<>\"]", "")
+    """A layout page for each document, made of its whole text: one region of each kind."""
+    line = F.regexp_replace("text", r"[&<>\"]", "")
     box = F.concat_ws(" ", F.col("doc_id") % 900, F.lit(80), F.lit(500), F.lit(400))
     div = lambda label, body: F.concat(F.lit('<div data-bbox="'), box, F.lit(f'" data-label="{label}">'), *body, F.lit("</div>"))
     lit = F.lit
@@ -243,7 +244,7 @@ def _layout_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 _LOC_SQL = "'<loc_' || least(499, round_even((doc_id % 900)::DOUBLE / 1000 * 500, 0))::INT || '><loc_50><loc_250><loc_250>'"
 
 
-@query(f"""WITH b AS (SELECT doc_id, source, {_LOC_SQL} AS loc, regexp_replace(regexp_replace(regexp_replace(split_part(text, chr(10), 1), '[&<>"]', '', 'g'), '^\\s+', ''), '\\s+$', '') AS line FROM documents)
+@query(f"""WITH b AS (SELECT doc_id, source, {_LOC_SQL} AS loc, regexp_replace(regexp_replace(regexp_replace(text, '[&<>"]', '', 'g'), '^\\s+', ''), '\\s+$', '') AS line FROM documents)
 SELECT doc_id, '<doctag>' || chr(10) || '<text>' || loc || line || '</text>' || chr(10) || '<section_header_level_1>' || loc || line || '</section_header_level_1>' || chr(10) || '<page_header>' || loc || line || '</page_header>' || chr(10)
 || '<page_footer>' || loc || line || '</page_footer>' || chr(10) || '<caption>' || loc || line || '</caption>' || chr(10) || CASE WHEN line <> '' THEN '<text>' || loc || line || '</text>' || chr(10) ELSE '' END
 || '<table>' || loc || '<table><tr><td>' || line || '</td></tr></table></table>' || chr(10) || '<picture>' || loc || source || '</picture>' || chr(10)
@@ -257,9 +258,16 @@ def region_labels(spark, sf_dir):
     return outcome.by_status(exploded(with_regions(_layout_pages(spark, sf_dir))).select(F.col("region.label").alias("label")), "label")
 
 
-@query("""SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace('  7. • ' || split_part(text, chr(10), 1), '^\\s+', ''), '^[0-9]+\\.\\s*', ''), '^\\s+', ''), '^[●•\\-*]\\s*', ''), '^\\s+', ''), '\\s+$', '') AS item FROM documents""")
+@query("""SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace('  7. • ' || text, '^\\s+', ''), '^[0-9]+\\.\\s*', ''), '^\\s+', ''), '^[●•\\-*]\\s*', ''), '^\\s+', ''), '\\s+$', '') AS item FROM documents""")
 def list_markers(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", text.strip_list_marker(text.trim_u(F.concat(F.lit("  7. • "), F.split_part("text", F.lit("\n"), F.lit(1))))).alias("item"))
+    return table(spark, sf_dir, "documents").select("doc_id", text.strip_list_marker(text.trim_u(F.concat(F.lit("  7. • "), F.col("text")))).alias("item"))
+
+
+@query("SELECT page_id, '<doctag>' || chr(10) || chr(10) || '</doctag>' AS doctags, 0 AS n_regions, NULL::VARCHAR AS error FROM pages WHERE html NOT LIKE '%data-bbox%'")
+def raw_pages_markup(spark, sf_dir):
+    """The pages as they are: parsed whole; none of them has a region."""
+    d = table(spark, sf_dir, "pages").select("page_id", "html", F.lit(0).alias("img_w"), F.lit(0).alias("img_h"))
+    return with_regions(doctag.convert(d)).select("page_id", "doctags", F.size("regions").alias("n_regions"), "error")
 
 
 # ------------------------------------------------------------------ JSON, manifests, streams
@@ -276,8 +284,7 @@ def manifest_round_trip(spark, sf_dir):
     root = work_dir(spark, "manifests")
     d = table(spark, sf_dir, "documents")
     sinks.write_manifests(d.select(F.concat(F.lit("images/"), F.col("doc_id").cast("string"), F.lit(".png")).alias("image_path"), F.col("text").alias("output_text"), F.lit(None).cast("string").alias("chandra_raw"), "source", F.lit(1).alias("img_w"), F.lit(1).alias("img_h")), root)
-    lines = spark.read.option("pathGlobFilter", "*.txt").text(f"{root}/manifests")
-    return files.from_manifest_text(lines).select("image_path", "output_text", "source")
+    return files.manifests(spark, root).select("image_path", "output_text", "source")
 
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -289,9 +296,8 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_count_batches(spark, sf_dir):
     """The events as a file stream, cut into batches of 100 and committed batch by batch."""
     root = work_dir(spark, "stream")
-    fire = watcher.tumbling(root, ["event_id"], 100, lambda rows, trigger: sinks.write_batch(rows, f"{root}/out", trigger), flush=True)
-    q = watcher.start(_event_stream(spark, sf_dir), fire, f"{root}/checkpoint", available_now=True)
-    q.awaitTermination()
+    fire = lambda rows, trigger: sinks.write_batch(rows, f"{root}/out", trigger)
+    watcher.drain(watcher.start(_event_stream(spark, sf_dir), watcher.tumbling(root, ["event_id"], 100, fire), f"{root}/checkpoint", available_now=True), root, fire)
     return spark.read.parquet(f"{root}/out").groupBy("batch").agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_id"), F.max("event_id").alias("last_id"))
 
 
@@ -299,8 +305,8 @@ def stream_count_batches(spark, sf_dir):
 def stream_progress(spark, sf_dir):
     """Progress of each source after the stream has been drained."""
     root = work_dir(spark, "stream")
-    fire = watcher.tumbling(root, ["event_id"], 100, lambda rows, trigger: sinks.write_batch(rows.select("user_id"), f"{root}/out", trigger), flush=True)
-    watcher.start(_event_stream(spark, sf_dir), fire, f"{root}/checkpoint", available_now=True).awaitTermination()
+    fire = lambda rows, trigger: sinks.write_batch(rows.select("user_id"), f"{root}/out", trigger)
+    watcher.drain(watcher.start(_event_stream(spark, sf_dir), watcher.tumbling(root, ["event_id"], 100, fire), f"{root}/checkpoint", available_now=True), root, fire)
     totals = table(spark, sf_dir, "events").groupBy("user_id").agg(F.count(F.lit(1)).alias("total"))
     return outcome.progress(spark.read.parquet(f"{root}/out"), totals, "user_id")
 

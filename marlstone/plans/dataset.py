@@ -19,7 +19,9 @@ def build(samples: DataFrame, signatures: DataFrame, index: DataFrame | None = N
     if samples.isEmpty():
         raise RuntimeError("No manifest files found in the dataset.")
     s = signatures.select(F.col("image_path").alias("s_path"), "sig")
-    d = samples.dropDuplicates(["image_path"]).join(s, F.col("image_path") == F.col("s_path"), "left").drop("s_path")
+    # of samples with one path the least counts, whatever the tasks' order
+    rest = [F.col(c) for c in samples.columns if c != "image_path"]
+    d = samples.groupBy("image_path").agg(F.min(F.struct(*rest)).alias("s")).select("image_path", "s.*").join(s, F.col("image_path") == F.col("s_path"), "left").drop("s_path")
     if index is not None:
         index = index.join(d.select(F.col("image_path").alias("o_path")), F.col("key") == F.col("o_path"), "left_anti")
     out = neardup.greedy(d, "image_path", index, below).drop("sig")

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..errors import StorageError
 from ..functions import signature, text
 from ..operators import doctag, neardup
 from ..options import SOURCE_NAME, Options
@@ -20,30 +21,29 @@ Recogniser = Callable[[bytes], str]
 
 
 def recognise(pages: DataFrame, make: Callable[[], Recogniser], at_once: int = 100) -> DataFrame:
-    """pages with ``html`` and ``error``.  One client a task, ``at_once`` requests in flight; a failed one fails alone."""
-    names = pages.columns
-    i = names.index("content")
+    """pages with ``html`` and ``ocr_error``.  One client a task, ``at_once`` requests in flight; a failed one fails alone.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Only the content goes to Python.
+    """
+
+    @F.arrow_udf("struct<html:string,ocr_error:string>")
+    def ask(contents: Iterator[pa.Array]) -> Iterator[pa.Array]:
         client = None
 
-        def one(content: bytes) -> tuple[str | None, str | None]:
+        def one(content: bytes) -> dict[str, str | None]:
             try:
-                return client(content), None
+                return {"html": client(content), "ocr_error": None}
             except Exception as e:
-                return None, str(e) or type(e).__name__
+                return {"html": None, "ocr_error": str(e) or type(e).__name__}
 
-        for b in batches:
-            if not b.num_rows:
-                continue
+        kind = pa.struct([("html", pa.string()), ("ocr_error", pa.string())])
+        for part in contents:
             client = client or make()
-            with ThreadPoolExecutor(min(at_once, b.num_rows)) as pool:
-                out = list(pool.map(one, b.column(i).to_pylist()))
-            cols = [pa.array([x[k] for x in out], pa.string()) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays([*b.columns, *cols], names=[*names, "html", "ocr_error"])
+            with ThreadPoolExecutor(max(1, min(at_once, len(part)))) as pool:
+                yield pa.array(list(pool.map(one, part.to_pylist())), kind)
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema.fields)
-    return pages.mapInArrow(run, f"{schema}, html string, ocr_error string")
+    d = pages.withColumn("answer", ask.asNondeterministic()(F.col("content")))
+    return d.withColumns({"html": F.col("answer.html"), "ocr_error": F.col("answer.ocr_error")}).drop("answer")
 
 
 def outcomes(pages: DataFrame, index: DataFrame, make: Callable[[], Recogniser], options: Options = Options()) -> DataFrame:
@@ -51,9 +51,13 @@ def outcomes(pages: DataFrame, index: DataFrame, make: Callable[[], Recogniser],
 
     ``pages``: page_uri, source_file, page_no, content, sig, img_w, img_h.
     Duplicates go before recognition.  A page that fails is no representative,
-    so the choice is made again without the failed ones until none fails.
+    so the choice is made again without the failed ones until none fails.  A
+    page that comes with an ``error`` (its file could not be rendered) has failed.
     """
     spark: SparkSession = pages.sparkSession
+    if "error" in pages.columns:
+        lost = pages.filter("error is not null").withColumns({"sample_id": text.sample_id(F.col("source_file"), F.col("page_no")), "html": F.lit(None).cast("string"), "doctags": F.lit(None).cast("string"), "status": F.lit("failed")})
+        return outcomes(pages.filter("error is null").drop("error"), index, make, options).unionByName(lost)
     d = written(pages.withColumn("sample_id", text.sample_id(F.col("source_file"), F.col("page_no"))), "pages")
     failed = spark.createDataFrame([], "f_id string, f_error string")
     tried = None
@@ -94,10 +98,17 @@ def commit(done: DataFrame, root: str, batch_id: int) -> int:
 
 
 def ingest_file(spark: SparkSession, path: str, root: str, make: Callable[[], Recogniser], hashes: Callable[[DataFrame], DataFrame], options: Options = Options(), render: files.Renderer = files._render_with_library, batch_id: int = 0) -> int:
-    """Ingest one file and return the number of saved pages.
+    """Ingest one file and return the number of saved pages; a file that can't be rendered raises.
 
     ``hashes`` adds ``sig``, ``img_w`` and ``img_h`` to pages with ``content``.
     """
-    pages = files.pages(files.one_file(spark, path), options.dpi, render).filter("error is null").drop("error")
-    done = written(outcomes(hashes(pages), sinks.read_batches(spark, f"{root}/index", HASH_INDEX), make, options), "outcomes")
+    pages = written(files.pages(files.one_file(spark, path), options.dpi, render), "pages")
+    if bad := pages.filter("error is not null").select("error").first():
+        raise StorageError(f"{path}: {bad['error']}")
+    done = written(outcomes(hashes(pages.drop("error")), index_before(spark, root, batch_id), make, options), "outcomes")
     return commit(done, root, batch_id)
+
+
+def index_before(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
+    """What other batches have registered before; a batch that runs again does not see itself."""
+    return sinks.read_batches(spark, f"{root}/index", HASH_INDEX).filter(F.col("batch_id") < batch_id)

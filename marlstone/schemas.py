@@ -1,12 +1,5 @@
 """Schemas of the engine's tables, as DDL."""
 
-SAMPLE = "sample_id string, image_path string, output_text string, chandra_raw string, source string, img_w int, img_h int, created_at timestamp_ntz"
 MANIFEST = "image_path string, output_text string, chandra_raw string, source string, img_w int, img_h int"
 HASH_INDEX = "key string, sig bigint, sig_hex string, batch_id bigint"
-PAGE = "page_uri string, source_file string, page_no int, n_pages int, content binary"
 OUTCOME = "page_uri string, source_file string, status string, error string"
-PROGRESS = "source_file string, total int, remaining int, state string"
-LOG = "ts string, level string, module string, message string, exc string"
-MODEL = "repo string, revision string, accuracy double, cer double, promoted_at timestamp_ntz"
-REQUEST = "image_b64 string, max_tokens int"
-RESPONSE = "text string, model_revision string, latency_ms double"

@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 from pathlib import PurePosixPath
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
 from ..errors import StorageError
 from ..functions import text
 from ..options import SUPPORTED
 from ..schemas import MANIFEST
-from .scratch import exists, listing
+from .scratch import exists, filesystem, listing
 
 BINARY = "path string, modificationTime timestamp, length bigint, content binary"
+WHOLE_BYTES = 1 << 20  # a file that holds one pretty-printed object has a sample, and is no longer
 Renderer = Callable[[bytes, int], Iterator[bytes]]
 
 
@@ -81,13 +84,35 @@ def images(spark: SparkSession, path: str) -> DataFrame:
 
 
 def manifests(spark: SparkSession, root: str, schema: str = MANIFEST) -> DataFrame:
-    """Samples of all manifests/**/*.jsonl: a file is one JSON object, or one object a line; a bad line fails the job."""
+    """Samples of all manifests/**/*.jsonl: a file is one JSON object, or one object a line; a bad line fails the job.
+
+    Only files up to ``WHOLE_BYTES`` are read whole; a larger one has an object a line and is split among tasks.
+    """
     folder = f"{root.rstrip('/')}/manifests"
     if not exists(spark, folder):
         return spark.createDataFrame([], schema)
     reader = spark.read.option("pathGlobFilter", "*.jsonl").option("recursiveFileLookup", True)
-    whole = reader.text(folder, wholetext=True)
-    return from_manifest_text(whole.select("value"), schema)
+    size = F.col("_metadata.file_size")
+    whole = reader.text(folder, wholetext=True).filter(size <= WHOLE_BYTES).select("value")
+    lines = reader.text(folder).filter(size > WHOLE_BYTES).select("value")
+    return from_manifest_text(whole, schema).unionByName(from_lines(lines.filter(text.trim_u(F.col("value")) != ""), schema))
+
+
+def from_lines(lines: DataFrame, schema: str = MANIFEST) -> DataFrame:
+    """One JSON object a ``value``; anything else, also after the object, fails the job."""
+    whole = F.when(_one_object(F.col("value")), F.col("value")).otherwise(F.raise_error(F.concat(F.lit("not one JSON object: "), F.substring("value", 1, 200))))
+    return lines.select(F.from_json(whole.cast("string"), schema, {"mode": "FAILFAST"}).alias("s")).select("s.*")
+
+
+@F.arrow_udf(BooleanType())
+def _one_object(values: pa.Array) -> pa.Array:
+    def ok(v: str | None) -> bool:
+        try:
+            return isinstance(json.loads(v or ""), dict)
+        except ValueError:
+            return False
+
+    return pa.array([ok(v) for v in values.to_pylist()], pa.bool_())
 
 
 def from_manifest_text(files: DataFrame, schema: str = MANIFEST) -> DataFrame:
@@ -95,7 +120,7 @@ def from_manifest_text(files: DataFrame, schema: str = MANIFEST) -> DataFrame:
     body = text.trim_u(F.col("value"))
     single = body.startswith("{") & F.from_json(body, schema, {"mode": "PERMISSIVE"}).isNotNull() & ~F.coalesce(F.get(F.filter(F.split(body, "\n"), lambda x: text.trim_u(x) != ""), F.lit(1)), F.lit("")).rlike(r"^\s*\{")
     rows = F.when(single, F.array(body)).otherwise(F.filter(F.transform(F.split(body, "\n"), text.trim_u), lambda x: x != ""))
-    return files.select(F.explode(rows).alias("line")).select(F.from_json("line", schema, {"mode": "FAILFAST"}).alias("s")).select("s.*")
+    return from_lines(files.select(F.explode(rows).alias("value")), schema)
 
 
 def json_object(spark: SparkSession, path: str) -> DataFrame:
@@ -120,12 +145,11 @@ def blobs(spark: SparkSession, root: str, prefix: str) -> DataFrame:
 
 def ensure_warehouse(spark: SparkSession, path: str, marker: str = "_marlstone") -> None:
     """Create the folder if absent; refuse one that holds something else."""
-    p = spark._jvm.org.apache.hadoop.fs.Path
     if exists(spark, path):
         names = listing(spark, path)
         if marker in names:
             return
         if names:
             raise StorageError(f"{path} holds other files")
-    fs = p(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.mkdirs(p(f"{path}/{marker}"))
+    fs, of = filesystem(spark, path)
+    fs.mkdirs(of(f"{path}/{marker}"))

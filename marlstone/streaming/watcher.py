@@ -2,26 +2,31 @@
 
 Offsets live in the checkpoint; a trigger that runs again writes the same
 batch folders again.  Rows short of a full batch wait in a pending table until
-later files fill it or ``flush`` is asked for.
+later files fill it, or the stream is drained.
 """
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators import outcome
 from ..operators.numbering import numbered
 from ..options import Options
+from ..plans import ingest
+from ..schemas import OUTCOME
 from ..sources import files, sinks
-from ..sources.scratch import exists, written
+from ..sources.scratch import exists, listing, written
 
+log = logging.getLogger(__name__)
 Batch = Callable[[DataFrame, int], None]
 
 
-def tumbling(root: str, order: list[str], size: int, fire: Batch, flush: bool = False) -> Batch:
+def tumbling(root: str, order: list[str], size: int, fire: Batch) -> Batch:
     """A foreachBatch function that fires exact batches of ``size`` rows in order.
 
     State is versioned by trigger: trigger n reads what trigger n - 1 left, so
@@ -37,8 +42,7 @@ def tumbling(root: str, order: list[str], size: int, fire: Batch, flush: bool =
             first = spark.read.parquet(f"{root}/next/{trigger - 1}").first()["next"]
             rows = rows.unionByName(held)
         d = written(numbered(rows, order, "_n"), "pending")
-        n = d.count()
-        full = -(-n // size) if flush else n // size
+        full = d.count() // size
         if full:
             fire(d.filter(F.col("_n") <= full * size).withColumn("batch", F.lit(first) + F.floor((F.col("_n") - 1) / size)).drop("_n"), trigger)
         d.filter(F.col("_n") > full * size).drop("_n").write.mode("overwrite").parquet(f"{root}/pending/{trigger}")
@@ -47,20 +51,18 @@ def tumbling(root: str, order: list[str], size: int, fire: Batch, flush: bool =
     return run
 
 
-def commit_when(staged: str, published: str, at: int) -> Callable[[SparkSession], int]:
-    """Publish and clear the staged rows once there are ``at`` of them."""
-
-    def run(spark: SparkSession) -> int:
-        if not exists(spark, staged):
-            return 0
-        rows = spark.read.parquet(staged)
-        if rows.count() < at:
-            return 0
-        n = sinks.publish(rows, published)
-        sinks.clear(spark, staged)
-        return n
-
-    return run
+def fire_rest(spark: SparkSession, root: str, fire: Batch) -> None:
+    """Fire what is pending as a last, short batch; under a negative number, so no trigger's batch is replaced."""
+    if not exists(spark, f"{root}/next"):
+        return
+    last = max(int(x) for x in listing(spark, f"{root}/next"))
+    held = written(spark.read.parquet(f"{root}/pending/{last}"), "rest")
+    if held.isEmpty():
+        return
+    first = spark.read.parquet(f"{root}/next/{last}").first()["next"]
+    fire(held.withColumn("batch", F.lit(first).cast("long")), -last - 1)
+    held.limit(0).write.mode("overwrite").parquet(f"{root}/pending/{last}")
+    spark.createDataFrame([(first + 1,)], "next bigint").write.mode("overwrite").parquet(f"{root}/next/{last}")
 
 
 def start(stream: DataFrame, fire: Batch, checkpoint: str, options: Options = Options(), available_now: bool = False) -> StreamingQuery:
@@ -68,13 +70,47 @@ def start(stream: DataFrame, fire: Batch, checkpoint: str, options: Options = Op
     return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=f"{options.poll_seconds} seconds")).start()
 
 
-def drain(query: StreamingQuery) -> None:
-    """Finish what has arrived, then stop."""
-    query.processAllAvailable()
-    query.stop()
+def drain(query: StreamingQuery, root: str | None = None, fire: Batch | None = None) -> None:
+    """Finish what has arrived, then stop; with ``root`` and ``fire`` of a ``tumbling`` also what is pending."""
+    if query.isActive:
+        query.processAllAvailable()
+        query.stop()
+    query.awaitTermination()
+    if root and fire:
+        fire_rest(SparkSession.active(), root, fire)
+
+
+def ingest_batch(root: str, make, hashes, options: Options = Options(), render: files.Renderer = files._render_with_library) -> Batch:
+    """A foreachBatch function: files to pages, without near duplicates, recognised, committed under the trigger's number.
+
+    A file that can't be rendered and a page that fails have an outcome with
+    their error, and files a row in ``failed``; the rest of the batch goes on.
+    Once ``commit_every`` saved pages wait, they are published.
+    """
+
+    def run(found: DataFrame, trigger: int) -> None:
+        spark = found.sparkSession
+        pages = written(files.pages(found, options.dpi, render), "pages")
+        lost = pages.filter("error is not null").select("source_file", "error")
+        totals = pages.groupBy("source_file").agg(F.count(F.lit(1)).alias("total"))
+        done = written(ingest.outcomes(hashes(pages), ingest.index_before(spark, root, trigger), make, options), "outcomes")
+        saved = ingest.commit(done, root, trigger)
+        sinks.write_batch(lost, f"{root}/failed", trigger)
+        sinks.write_batch(totals, f"{root}/totals", trigger)
+        published = sinks.publish(spark, f"{root}/samples", f"{root}/published", options.commit_every)
+        log.info("batch %d: %d saved, %d published", trigger, saved, published)
+
+    return run
 
 
-def watch(spark: SparkSession, folder: str, root: str, fire: Batch, options: Options = Options(), available_now: bool = False) -> StreamingQuery:
-    """Files of a folder to ``fire`` in batches; at most ``prefetch`` files a trigger."""
+def watch(spark: SparkSession, folder: str, root: str, make, hashes, options: Options = Options(), render: files.Renderer = files._render_with_library, available_now: bool = False) -> StreamingQuery:
+    """Ingest the files of a folder as they come, at most ``prefetch`` of them a trigger."""
     found = files.scan_stream(spark, folder, options.prefetch)
-    return start(found, tumbling(root, ["path"], options.batch_size, fire, flush=available_now), f"{root}/checkpoint", options, available_now)
+    return start(found, ingest_batch(root, make, hashes, options, render), f"{root}/checkpoint", options, available_now)
+
+
+def progress(spark: SparkSession, root: str) -> DataFrame:
+    """Pages of each source file, how many are left, and its state."""
+    done = sinks.read_batches(spark, f"{root}/outcomes", OUTCOME)
+    totals = sinks.read_batches(spark, f"{root}/totals", "source_file string, total bigint").drop("batch_id")
+    return outcome.progress(done, totals)

@@ -1,16 +1,20 @@
 """Contracts of the engine's operators on small fixtures."""
 
+import json
+import logging
 import random
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from marlstone import logs
+from marlstone.errors import GateError, StorageError
 from marlstone.functions import geometry, signature, text
-from marlstone.operators import doctag, layout, neardup, numbering, split
+from marlstone.operators import doctag, layout, neardup, numbering, outcome, split
 from marlstone.options import Options
 from marlstone.plans import dataset, ingest
-from marlstone.schemas import HASH_INDEX, MANIFEST
+from marlstone.schemas import HASH_INDEX, MANIFEST, OUTCOME
 from marlstone.sources import files, sinks
 from marlstone.streaming import watcher
 
@@ -87,6 +91,38 @@ def test_markup(spark, html, lines):
     assert markup(spark, html)["doctags"] == "<doctag>\n" + "\n".join(lines) + "\n</doctag>"
 
 
+def test_page_without_regions_needs_no_size(spark):
+    assert tuple(markup(spark, "<p>x</p>", 0, 0)[c] for c in ("doctags", "error")) == ("<doctag>\n\n</doctag>", None)
+    assert tuple(markup(spark, "<p>x</p>", 5, 0)[c] for c in ("doctags", "error")) == ("<doctag>\n\n</doctag>", None)
+    assert markup(spark, div("Text", "x"), 5, 0)["error"]
+
+
+def test_wide_box_is_clamped(spark):
+    got = markup(spark, div("Text", "x", "-99999999999 0 99999999999999999999 3000000000"))
+    assert got["doctags"] == "<doctag>\n<text><loc_0><loc_0><loc_499><loc_499>x</text>\n</doctag>" and got["error"] is None
+
+
+def test_bands_find_every_near_pair_and_few_others(spark):
+    r = random.Random(4)
+    signed = lambda x: x - 2**64 if x >= 2**63 else x
+    sigs = [r.getrandbits(64) for _ in range(3000)]
+    for s in sigs[:300]:
+        for n in (1, 5, 7, 8):
+            sigs.append(s ^ sum(1 << i for i in r.sample(range(64), n)))
+    d = spark.createDataFrame([(signed(s),) for s in set(sigs)], "sig long")
+    got = {(x["l_sig"], x["r_sig"]) for x in neardup.near_pairs(d, d).collect()}
+    all_ = np.array(sorted(set(sigs)), np.uint64)
+    want = {(signed(int(a)), signed(int(b))) for a in all_ for b in all_[np.bitwise_count(all_ ^ a) < 8]}
+    assert got == want
+    met = neardup.bands(d, probes=True).alias("a").join(neardup.bands(d).alias("b"), ["band", "value"]).count()
+    assert met < len(set(sigs)) ** 2 / 300
+
+
+def test_greedy_needs_unique_order(spark):
+    with pytest.raises(ValueError, match="not unique"):
+        neardup.greedy(spark.createDataFrame([(1, 5), (1, 6)], "key long, sig long"), "key")
+
+
 @pytest.mark.parametrize("box", ["1 2 3", "1 2 3 12.5"])
 def test_bad_box_fails_the_page_alone(spark, box):
     assert markup(spark, div("Text", "x", box))["error"]
@@ -123,10 +159,10 @@ def test_options():
 
 def test_single_file_errors(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
-        files.one_file(spark, str(tmp_path / "nonexistent.pdf"))
-    (tmp_path / "doc.docx").write_text("dummy")
+        files.one_file(spark, str(tmp_path / "not-there.pdf"))
+    (tmp_path / "notes.docx").write_text("words")
     with pytest.raises(ValueError, match="Unsupported file type"):
-        files.one_file(spark, str(tmp_path / "doc.docx"))
+        files.one_file(spark, str(tmp_path / "notes.docx"))
 
 
 def test_manifest_shapes(spark, tmp_path):
@@ -135,6 +171,81 @@ def test_manifest_shapes(spark, tmp_path):
     with pytest.raises(Exception):
         files.from_manifest_text(spark.createDataFrame([("{bad\n{worse",)], "value string")).collect()
     assert files.manifests(spark, str(tmp_path)).count() == 0
+    for bad in ('{"image_path": "a"} tail', '[1]', '{"image_path": "a"}{"image_path": "b"}'):
+        with pytest.raises(Exception, match="not one JSON object"):
+            files.from_lines(spark.createDataFrame([(bad,)], "value string")).collect()
+
+
+def test_manifests_read_what_is_written(spark, tmp_path, monkeypatch):
+    d = spark.createDataFrame([(f"images/{i}.png", f"text {i}\nwith lines", None, "s", 1, 2) for i in range(20)], MANIFEST)
+    sinks.write_manifests(d, str(tmp_path))
+    sinks.write_manifests(d.limit(0), str(tmp_path))
+    (tmp_path / "manifests" / "one.jsonl").write_text('{\n "image_path": "p",\n "img_w": 3\n}')
+    (tmp_path / "manifests" / "other.json").write_text("{}")
+    for whole in (files.WHOLE_BYTES, 60):  # with 60, files of lines are read line by line
+        monkeypatch.setattr(files, "WHOLE_BYTES", whole)
+        got = {tuple(r) for r in files.manifests(spark, str(tmp_path)).collect()}
+        assert got == {tuple(r) for r in d.collect()} | {("p", None, None, None, 3, None)}
+
+
+def png(path, rows):
+    """A grey image."""
+    import struct
+    import zlib
+
+    chunk = lambda kind, data: struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
+    h, w = rows.shape
+    path.write_bytes(b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">2I5B", w, h, 8, 0, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(b"".join(b"\0" + r.tobytes() for r in rows))) + chunk(b"IEND", b""))
+
+
+def test_images_to_a_split_dataset(spark, tmp_path):
+    """Manifests and images in a folder: hashed, deduplicated, split."""
+    pictures = tmp_path / "images"
+    pictures.mkdir()
+    r = np.random.RandomState(1)
+    for i in range(12):
+        base = np.kron(r.randint(0, 250, (8, 8)), np.ones((6, 6))).astype(np.uint8)
+        png(pictures / f"{i}.png", base)
+        if i < 3:
+            png(pictures / f"{i}-copy.png", base)
+    (pictures / "broken.png").write_bytes(b"no image")
+    found = files.scan(spark, str(pictures)).select("path")
+    names = found.select(F.concat(F.lit("images/"), text.basename(F.col("path"))).alias("image_path"))
+    samples = names.select("image_path", F.lit("t").alias("output_text"), F.lit(None).cast("string").alias("chandra_raw"), F.lit("s").alias("source"), F.lit(1).alias("img_w"), F.lit(1).alias("img_h"))
+    sinks.write_manifests(samples, str(tmp_path))
+    hashed = signature.phash(files.images(spark, str(pictures)))
+    assert hashed.filter("sig is null").count() == 1
+    sigs = hashed.select(F.concat(F.lit("images/"), text.basename(F.col("origin"))).alias("image_path"), "sig")
+    kept = dataset.build_from(spark, str(tmp_path), sigs)
+    assert kept.count() == 13  # twelve pictures, and the one without a signature
+    assert {x["split"]: x["n"] for x in dataset.split_and_publish(kept, str(tmp_path / "out")).collect()} == {"train": 10, "val": 1, "test": 2}
+
+
+def test_folders(spark, tmp_path):
+    files.ensure_warehouse(spark, str(tmp_path / "w"))
+    files.ensure_warehouse(spark, str(tmp_path / "w"))
+    (tmp_path / "x" / "a").mkdir(parents=True)
+    (tmp_path / "x" / "a" / "f.bin").write_bytes(b"123")
+    with pytest.raises(StorageError):
+        files.ensure_warehouse(spark, str(tmp_path / "x"))
+    assert [r["length"] for r in files.blobs(spark, str(tmp_path / "x"), "a/").collect()] == [3] and files.blobs(spark, str(tmp_path / "x"), "b").count() == 0
+    assert files.hash_index(spark, str(tmp_path / "none"), HASH_INDEX).count() == 0
+    (tmp_path / "c.json").write_text('{"count": 42}')
+    assert files.json_object(spark, str(tmp_path / "c.json")).first()["count"] == 42
+    with pytest.raises(StorageError):
+        files.json_object(spark, str(tmp_path / "missing.json"))
+
+
+def test_log_lines(capsys):
+    logs.configure()
+    try:
+        1 / 0
+    except ZeroDivisionError:
+        logging.getLogger("marlstone.x").exception("gone %d", 3)
+    row = json.loads(capsys.readouterr().out)
+    assert (row["level"], row["module"], row["message"]) == ("ERROR", "marlstone.x", "gone 3") and "ZeroDivisionError" in row["exc"] and row["ts"]
+    assert str(GateError("size", "too small")) == "[size] too small"
+    logging.getLogger("marlstone").handlers.clear()
 
 
 def _hashes(pages):
@@ -160,8 +271,8 @@ def _half():
 
 
 def test_ingest(spark, tmp_path):
-    (tmp_path / "scan.png").write_bytes(b"fake_image_bytes")
-    (tmp_path / "doc.pdf").write_bytes(b"fake_pdf")
+    (tmp_path / "scan.png").write_bytes(b"picture one")
+    (tmp_path / "doc.pdf").write_bytes(b"two pages")
     root = str(tmp_path / "out")
     go = lambda name, make, b: ingest.ingest_file(spark, str(tmp_path / name), root, make, _hashes, render=_two_pages, batch_id=b)
     assert go("scan.png", _good, 0) == 1
@@ -169,6 +280,52 @@ def test_ingest(spark, tmp_path):
     assert go("doc.pdf", _good, 2) == 1  # the page that failed was not registered
     assert go("scan.png", _good, 3) == 0
     assert sinks.read_batches(spark, f"{root}/index", HASH_INDEX).count() == 3
+    assert go("scan.png", _good, 0) == 1  # run again: it does not see itself
+    (tmp_path / "bad.pdf").write_bytes(b"broken")
+    with pytest.raises(StorageError, match="no pages"):
+        ingest.ingest_file(spark, str(tmp_path / "bad.pdf"), root, _good, _hashes, render=_broken, batch_id=4)
+
+
+def _broken(content, dpi):
+    if content == b"broken":
+        raise ValueError("no pages in it")
+    yield from _two_pages(content, dpi)
+
+
+def test_stream_ingests_files(spark, tmp_path):
+    """One trigger against many, a file that can't be rendered, and a stream that dies and starts again."""
+    src = tmp_path / "in"
+    src.mkdir()
+    for i in range(4):
+        (src / f"{i}.png").write_bytes(b"picture %d" % (i % 3))  # the last is a copy
+    (src / "doc.pdf").write_bytes(b"two pages")
+    (src / "bad.pdf").write_bytes(b"broken")
+    (src / "notes.txt").write_text("not an input")
+    seen = []
+    for name, per in (("one", 100), ("many", 1), ("dies", 2)):
+        root = str(tmp_path / name)
+        options = Options(prefetch=per, commit_every=2)
+        calls = []
+
+        def hashes(pages):
+            calls.append(1)
+            if name == "dies" and len(calls) == 2:
+                raise RuntimeError("killed")
+            return _hashes(pages)
+
+        go = lambda: watcher.drain(watcher.watch(spark, str(src), root, _good, hashes, options, _broken, available_now=True))  # noqa: B023, E731
+        if name == "dies":
+            with pytest.raises(Exception):
+                go()
+        go()
+        statuses = {r["status"]: r["n"] for r in outcome.by_status(sinks.read_batches(spark, f"{root}/outcomes", OUTCOME), "status").collect()}
+        failed = [r["error"] for r in spark.read.parquet(f"{root}/failed").collect()]
+        states = {r["state"] for r in watcher.progress(spark, root).collect()}
+        sinks.publish(spark, f"{root}/samples", f"{root}/published", 1)
+        assert sinks.publish(spark, f"{root}/samples", f"{root}/published", 1) == 0  # nothing twice
+        published = spark.read.parquet(f"{root}/published").select("image_path")
+        seen.append((statuses, failed, states, published.count(), published.distinct().count()))
+    assert seen == [({"saved": 5, "duplicate": 1, "failed": 1}, ["no pages in it"], {"done"}, 5, 5)] * 3
 
 
 def test_dataset(spark, tmp_path):
@@ -192,13 +349,18 @@ def test_stream_batches(spark, tmp_path):
     seen = []
     for name, per in (("one", 100), ("many", 1)):
         root = str(tmp_path / name)
-        fire = watcher.tumbling(root, ["id"], 20, lambda rows, t: sinks.write_batch(rows, f"{root}/out", t))
+        out = lambda rows, t: sinks.write_batch(rows, f"{root}/out", t)  # noqa: B023, E731
+        fire = watcher.tumbling(root, ["id"], 20, out)
         stream = spark.readStream.schema("id long").option("maxFilesPerTrigger", per).parquet(str(src))
         for _ in range(2):  # a second start finds nothing new
             watcher.start(stream, fire, f"{root}/checkpoint", available_now=True).awaitTermination()
-        out = spark.read.parquet(f"{root}/out")
-        seen.append((out.count(), out.groupBy("batch").count().filter("count = 20").count()))
-    assert seen == [(60, 3), (60, 3)]
+        got = spark.read.parquet(f"{root}/out")
+        seen.append((got.count(), got.groupBy("batch").count().filter("count = 20").count()))
+        for _ in range(2):
+            watcher.fire_rest(spark, root, out)
+        got = spark.read.parquet(f"{root}/out")
+        seen.append((got.count(), got.groupBy("batch").count().count()))
+    assert seen == [(60, 3), (70, 4)] * 2
 
 
 def test_phash_tells_images_apart():
