@@ -9,7 +9,6 @@ in one place.
 from __future__ import annotations
 
 import ctypes
-import tempfile
 import threading
 import uuid
 from collections.abc import Iterable, Iterator
@@ -22,6 +21,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.scratch import shared_dir
+from ..sources.sinks import delete
+
 #: Bytes of text that a numpy kernel holds at once; a longer single text goes alone.
 CHUNK_BYTES = 1 << 20
 
@@ -29,28 +31,6 @@ CHUNK_BYTES = 1 << 20
 # --------------------------------------------------------------------------- shared folder
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see.
-
-    It is read from ``spark.checkpoint.dir``.  Where that is unset, a local
-    session gets a temporary folder; on a cluster other machines would not see
-    one, so that is an error.
-    """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        path = "file://" + tempfile.mkdtemp(prefix="marlstone-")
-        spark.conf.set("spark.checkpoint.dir", path)
-        spark.sparkContext.setCheckpointDir(path)
-    return path.rstrip("/")
-
-
-def delete(spark: SparkSession, path: str) -> None:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
 class Scratch:
     """Intermediate tables of one operator run, each written once and reread.
 

@@ -11,7 +11,9 @@ range, but no less than ``SHARE`` of its language's and of the corpus's, so
 that a group full of copies does not fence out the rest; where even that is
 nothing, nothing is fenced.  No fence has a fixed number in it.  The table of
 fences, a row for each group, is joined back to the counts; it is broadcast if
-it has at most ``FEW`` rows.
+it has at most ``FEW`` rows.  Sketches compact at random, so a rate within their
+error of a fence may be judged otherwise in another run; all rows of a run are
+judged by the same written fences.
 
 Defined results: a null or empty text has no words, so it fails the base rule.
 A null language or source is a group like any other.  Repeated rows are judged
@@ -35,6 +37,7 @@ MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 20, 30, 8
 #: Rates whose fences are adaptive, and the sides that are fenced.  All of them vary in any prose, so their quartiles differ.
 RATES = {"punct_rate": "high", "word_len": "both", "upper_rate": "high"}
 FENCE, SHARE = 8.0, 0.5
+SKETCH_K = 800  # a quartile is off by a third of a percent of the ranks or so; a sketch has some 10 kB
 MIN_GROUP = 50  # texts that a group needs for thresholds of its own
 FEW = 100_000  # fences to broadcast, of 100 bytes or so each
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -103,7 +106,7 @@ def thresholds(counted: DataFrame) -> DataFrame:
     Texts under MIN_WORDS words do not count: they fail anyway.
     """
     d = counted.select("g_lang", "g_source", F.when(F.col("n_words") >= MIN_WORDS, F.struct(*RATES)).alias("r"))
-    groups = d.groupBy("g_lang", "g_source").agg(F.count("r").alias("n"), *[F.kll_sketch_agg_double(F.col(f"r.{k}")).alias(k) for k in RATES])
+    groups = d.groupBy("g_lang", "g_source").agg(F.count("r").alias("n"), *[F.kll_sketch_agg_double(F.col(f"r.{k}"), SKETCH_K).alias(k) for k in RATES])
     by_lang = groups.groupBy("g_lang").agg(F.sum("n").alias("n"), *[F.kll_merge_agg_double(k).alias(k) for k in RATES])
     every = by_lang.agg(F.sum("n").alias("n"), *[F.kll_merge_agg_double(k).alias(k) for k in RATES])
 
