@@ -17,8 +17,9 @@ others share most with.  What is connected by that is contracted.  Then come
 rounds in which every component but a block's largest proposes its best
 partners in other components; those are verified and contracted too.  A
 round's proposals are bounded by components, not by pairs; the bound rises
-from round to round and the last has none, and it ends only when no component
-has a partner left that was not verified.  So a large group of near copies
+from round to round and the last has none; a later round looks only at
+shingles where a component had more partners than it proposed, so in the end
+none is left that was not verified.  So a large group of near copies
 costs a pair a member, and no link that matters is lost.  ``links`` verifies
 all candidates instead.
 
@@ -423,7 +424,7 @@ def _block_pairs(t: pa.Table, new: np.ndarray, percent: int, most: int | None) -
 
 
 def _cross_pairs(meet: DataFrame, percent: int, most: int | None) -> DataFrame:
-    """Candidate pairs (a, b, more) between components.
+    """Candidate pairs (a, b) between components, and the ``token`` where a component had more of them.
 
     ``meet``: token, block, b0, b1 (the token's first and last block), n, sig,
     pos, c_n, c_sig (component), sketch.  A token's blocks are paired with each other.
@@ -440,13 +441,15 @@ def _cross_pairs(meet: DataFrame, percent: int, most: int | None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t, new in _groups(batches, ["token", "i", "j"]):
             n, sig = t.column("n").to_numpy(), t.column("sig").to_numpy()
+            token = t.column("token").to_numpy()
             for x, y, more in _block_pairs(t, new, percent, most):
+                where = pa.array(token[x], mask=~more)
                 swap = (n[x] > n[y]) | (n[x] == n[y]) & (sig[x] > sig[y])
                 x, y = np.where(swap, y, x), np.where(swap, x, y)
-                yield pa.RecordBatch.from_arrays([*(pa.StructArray.from_arrays([pa.array(n[r]), pa.array(sig[r])], fields=list(node)) for r in (x, y)), pa.array(more)], names=["a", "b", "more"])
+                yield pa.RecordBatch.from_arrays([*(pa.StructArray.from_arrays([pa.array(n[r]), pa.array(sig[r])], fields=list(node)) for r in (x, y)), where], names=["a", "b", "token"])
 
     kind = "struct<n:bigint,sig:bigint>"
-    return rows.mapInArrow(run, f"a {kind}, b {kind}, more boolean").groupBy("a", "b").agg(F.max("more").alias("more"))
+    return rows.mapInArrow(run, f"a {kind}, b {kind}, token long")
 
 
 def _prepare(docs: DataFrame, scratch: common.Scratch, k: int, percent: int, block: int):
@@ -510,7 +513,7 @@ def _open(scratch: common.Scratch, meet: DataFrame, roots: DataFrame | None) ->
 
 
 def _open_pairs(scratch: common.Scratch, open_: DataFrame, members: DataFrame, percent: int, most: int | None) -> DataFrame:
-    """Candidate pairs (a, b, more) between components, written."""
+    """Candidate pairs (a, b) between components, and tokens where some have more of them, written."""
     m = open_.join(members.select("sig", "n", "sketch"), ["sig", "n"]).select("token", "block", "b0", "b1", "n", "sig", "pos", F.col("c.n").alias("c_n"), F.col("c.sig").alias("c_sig"), "sketch")
     return scratch.save(_cross_pairs(m, percent, most), "met")
 
@@ -540,10 +543,12 @@ def _components(docs: DataFrame, k: int, percent: int, block: int = BLOCK_ROWS,
         if met.isEmpty():
             break
         done = tried.select(F.least("a", "b").alias("t_a"), F.greatest("a", "b").alias("t_b"))
-        new = met.join(done, (F.col("a") == F.col("t_a")) & (F.col("b") == F.col("t_b")), "left_anti").select("a", "b", F.lit(1).cast("long").alias("times"))
+        new = met.select("a", "b").distinct().join(done, (F.col("a") == F.col("t_a")) & (F.col("b") == F.col("t_b")), "left_anti").select("a", "b", F.lit(1).cast("long").alias("times"))
         new = scratch.save(_near_enough(scratch, new, members, percent).select("a", "b"), "pairs")
         found = _checked(docs, scratch, new, members, k, percent)
-        whole = met.filter("more").isEmpty()
+        # where nothing was left out all candidates are verified now, and merging components makes no new ones
+        left = scratch.save(met.filter("token is not null").select(F.col("token").alias("l_token")).distinct(), "left")
+        whole = left.isEmpty()
         if not found.isEmpty():
             links = scratch.save(links.unionByName(found), "links")
             if whole:
@@ -551,6 +556,7 @@ def _components(docs: DataFrame, k: int, percent: int, block: int = BLOCK_ROWS,
         if whole:
             break
         tried = scratch.save(tried.unionByName(new), "tried")
+        meet = scratch.save(meet.join(left, F.col("token") == F.col("l_token"), "left_semi"), "again")
         scratch.release()
     scratch.drop_all_but(scan, roots)
     known = classes.select("sig", "n", "least_id").join(roots, F.struct("n", "sig") == F.col("node"), "left")
@@ -565,7 +571,7 @@ def links(docs: DataFrame, k: int = 5, percent: int = 80, block: int = BLOCK_ROW
     """All links between classes (a_id, b_id: their smallest doc_ids), and membership (doc_id, class_id)."""
     scratch = common.Scratch(docs.sparkSession, "jaccard")
     scan, rows, classes, meet, members = _prepare(docs, scratch, k, percent, block)
-    met = _open_pairs(scratch, _open(scratch, meet, None), members, percent, None).select("a", "b", F.lit(1).cast("long").alias("times"))
+    met = _open_pairs(scratch, _open(scratch, meet, None), members, percent, None).select("a", "b").distinct().withColumn("times", F.lit(1).cast("long"))
     pairs = scratch.save(_near_enough(scratch, met, members, percent).select("a", "b"), "pairs")
     found = _checked(docs, scratch, pairs, members, k, percent)
     scratch.drop_all_but(scan, found)
