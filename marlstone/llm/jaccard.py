@@ -299,9 +299,8 @@ def _class_sets(docs: DataFrame, scratch: common.Scratch, pairs: DataFrame, memb
     return texts.mapInArrow(run, "n long, sig long, shingles binary")
 
 
-def _near_enough(scratch: common.Scratch, pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """Suffix filter: pairs (a, b, times) whose parities don't rule them out."""
-    pairs = scratch.save(pairs, "candidates")
+def _near_enough(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """Suffix filter: pairs (a, b, times) of a written table whose parities don't rule them out."""
     odd = members.select(F.struct("n", "sig").alias("m_node"), F.coalesce("odd", "sketch").alias("odd"))
     odd = odd.join(_nodes(pairs), F.col("m_node") == F.col("node"), "left_semi")
     j = pairs.join(odd.select(F.col("m_node").alias("a"), F.col("odd").alias("odd_a")), "a")
@@ -474,8 +473,8 @@ def _checked(docs: DataFrame, scratch: common.Scratch, pairs: DataFrame, members
     return found
 
 
-def _with_leaders(scratch: common.Scratch, meet: DataFrame, percent: int) -> DataFrame:
-    """Each posting with the leader of its block: the class whose prefix is shared most.
+def _with_leaders(scratch: common.Scratch, meet: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Each posting with the leader of its block, the class whose prefix is shared most; and the table that it reads.
 
     A copy's edits make rare shingles that nobody shares, and they fill its
     prefix; the text that was copied has none of them.  So the most shared
@@ -486,15 +485,18 @@ def _with_leaders(scratch: common.Scratch, meet: DataFrame, percent: int) -> Dat
     m = scratch.save(meet.join(share, ["sig", "n"]), "shares")
     lead = m.groupBy(F.col("token").alias("l_token"), F.col("block").alias("l_block")).agg(F.max(F.struct("share", F.negate("n").alias("small"), "sig", "n", "pos")).alias("l"))
     lead = lead.select("l_token", "l_block", F.col("l.sig").alias("l_sig"), F.col("l.n").alias("l_n"), F.col("l.pos").alias("l_pos"))
-    return m.join(lead, (F.col("token") == F.col("l_token")) & (F.col("block") == F.col("l_block"))).select("sig", "n", "pos", "l_sig", "l_n", "l_pos")
+    return m.join(lead, (F.col("token") == F.col("l_token")) & (F.col("block") == F.col("l_block"))).select("sig", "n", "pos", "l_sig", "l_n", "l_pos"), m
 
 
 def _first_pairs(scratch: common.Scratch, meet: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     """Of each class the leader that it meets most often and may be similar to."""
-    met = _with_leaders(scratch, meet, percent).filter((F.col("sig") != F.col("l_sig")) | (F.col("n") != F.col("l_n"))).filter(_allowed(percent, F.col("n"), F.col("pos"), F.col("l_n"), F.col("l_pos")))
+    met, shares = _with_leaders(scratch, meet, percent)
+    met = met.filter((F.col("sig") != F.col("l_sig")) | (F.col("n") != F.col("l_n"))).filter(_allowed(percent, F.col("n"), F.col("pos"), F.col("l_n"), F.col("l_pos")))
     a, b = F.struct("n", "sig"), F.struct(F.col("l_n").alias("n"), F.col("l_sig").alias("sig"))
-    pairs = met.groupBy(a.alias("a"), b.alias("b")).agg(F.count(F.lit(1)).alias("times"))
-    return _near_enough(scratch, pairs, members, percent).groupBy("a").agg(F.max(F.struct("times", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
+    pairs = scratch.save(met.groupBy(a.alias("a"), b.alias("b")).agg(F.count(F.lit(1)).alias("times")), "candidates")
+    scratch.drop(shares)
+    scratch.release()
+    return _near_enough(pairs, members, percent).groupBy("a").agg(F.max(F.struct("times", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
 
 
 def _open(scratch: common.Scratch, meet: DataFrame, roots: DataFrame | None) -> DataFrame:
@@ -544,7 +546,7 @@ def _components(docs: DataFrame, k: int, percent: int, block: int = BLOCK_ROWS,
             break
         done = tried.select(F.least("a", "b").alias("t_a"), F.greatest("a", "b").alias("t_b"))
         new = met.select("a", "b").distinct().join(done, (F.col("a") == F.col("t_a")) & (F.col("b") == F.col("t_b")), "left_anti").select("a", "b", F.lit(1).cast("long").alias("times"))
-        new = scratch.save(_near_enough(scratch, new, members, percent).select("a", "b"), "pairs")
+        new = scratch.save(_near_enough(scratch.save(new, "candidates"), members, percent).select("a", "b"), "pairs")
         found = _checked(docs, scratch, new, members, k, percent)
         # where nothing was left out all candidates are verified now, and merging components makes no new ones
         left = scratch.save(met.filter("token is not null").select(F.col("token").alias("l_token")).distinct(), "left")
@@ -572,7 +574,7 @@ def links(docs: DataFrame, k: int = 5, percent: int = 80, block: int = BLOCK_ROW
     scratch = common.Scratch(docs.sparkSession, "jaccard")
     scan, rows, classes, meet, members = _prepare(docs, scratch, k, percent, block)
     met = _open_pairs(scratch, _open(scratch, meet, None), members, percent, None).select("a", "b").distinct().withColumn("times", F.lit(1).cast("long"))
-    pairs = scratch.save(_near_enough(scratch, met, members, percent).select("a", "b"), "pairs")
+    pairs = scratch.save(_near_enough(scratch.save(met, "candidates"), members, percent).select("a", "b"), "pairs")
     found = _checked(docs, scratch, pairs, members, k, percent)
     scratch.drop_all_but(scan, found)
     found = found.distinct()
