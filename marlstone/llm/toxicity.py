@@ -14,7 +14,8 @@ one.
 
 Defined results: a null or empty text has no features; it gets the severity of
 the thresholds alone.  Unlabelled or null labels are not trained on; of
-repeated labels of a document the largest counts.  Without any labelled text
+repeated labels of a document the largest counts, of several texts of a
+doc_id the least.  Without any labelled text
 every severity is 0.  Repeated rows are scored one by one.  Extra columns are
 ignored.
 """
@@ -116,6 +117,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_train: i
     lab = common.pick(labels, {"doc_id": "long", label: "int"}).filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).alias("y"))
     chosen = lab.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train)
     texts = common.pick(docs, {"doc_id": "long", "text": "string"}).join(F.broadcast(chosen), "doc_id")  # at most max_train rows
+    texts = texts.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("y").alias("y"))  # of an id with several texts the least, in every run
 
     @common.trims
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,7 +127,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_train: i
             lists = [pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(a)) for a in (f.astype(np.int32), x.astype(np.float32))]
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("y"), *lists, pa.array(n, pa.int64())], names=["doc_id", "y", "f", "x", "n"])
 
-    found = texts.mapInArrow(run, "doc_id long, y int, f array<int>, x array<float>, n long").dropDuplicates(["doc_id"]).limit(max_train).toArrow().sort_by("doc_id")
+    found = texts.mapInArrow(run, "doc_id long, y int, f array<int>, x array<float>, n long").limit(max_train).toArrow().sort_by("doc_id")
     y = (found.column("y").to_numpy() > 0).astype(int)
     if not len(y) or y.min() == y.max():
         return Model(np.zeros(1 << BITS, np.float32), np.zeros(0))
