@@ -3,9 +3,10 @@
 Base kinds (email, ip, card, phone) follow fixed patterns and always stay.
 Further kinds are kept only if their score reaches ``THRESHOLD``: an IBAN that
 passes mod 97 (up to the end of any of its tokens), a phone or identity number
-without a plus sign that has a telling word nearby, and a secret: a run of
-letters and digits as varied as a random one, with a telling word nearby.  The scan is linear in the text, also on long runs of
-matching characters.
+without a plus sign that has a telling word nearby, a key of a well-known
+format, and a secret with a telling word nearby: a run of letters and digits as
+varied as a random one, or a less varied value that a telling name is given.  The
+scan is linear in the text, also on long runs of matching characters.
 
 Defined results: a null or empty text has no spans.  Repeated rows are
 scanned one by one.  An empty table gives no rows.  Extra columns are ignored
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left, insort
 from collections import Counter
 from collections.abc import Iterator
 
@@ -26,7 +28,7 @@ from pyspark.sql import functions as F
 from . import common
 
 BASE_KINDS = ("email", "ip", "card", "phone")
-KINDS = (*BASE_KINDS, "iban", "national_phone", "ssn", "secret")
+KINDS = (*BASE_KINDS, "iban", "national_phone", "ssn", "access_key", "secret")
 
 _LOCAL = r"[A-Za-z0-9._%+-]"
 # possessive and only from where a run begins: a run that fails is not tried again from its middle
@@ -41,10 +43,20 @@ _NATIONAL = re.compile(r"(?<![0-9+(.-])(?:\([0-9]{2,5}\) ?|0[0-9]{1,4}[ /-])[0-9
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 
 _SECRET = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,256}+(?![A-Za-z0-9+/_-])")
+#: Fixed formats of keys: cloud access, repository, chat, search and payment keys, web tokens, private keys.
+_KEYS = re.compile(
+    r"(?<![A-Za-z0-9_-])(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36,}+|xox[abprs]-[A-Za-z0-9-]{10,}+|AIza[A-Za-z0-9_-]{35}"
+    r"|[rs]k_live_[A-Za-z0-9]{16,}+|eyJ[A-Za-z0-9_-]{10,}+\.eyJ[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]++)(?![A-Za-z0-9])"
+    r"|-----BEGIN (?:[A-Z]+ ){0,3}PRIVATE KEY-----[^-]*+(?:-----END (?:[A-Z]+ ){0,3}PRIVATE KEY-----)?"
+)
+#: A value after a name such as ``password``; the name is looked for before the match.
+_VALUE = re.compile(r"[=:][ \t]{0,3}[\"']?([^\s\"',;<>()&=:]{8,}+(?:={1,2}(?![=A-Za-z0-9]))?)")
+_NAME = re.compile(r"(?:passw(?:or)?d|passwd|pwd|secret|token|credentials?|(?:api|access|private|auth|secret)[ _-]?key)[\"']?[ \t]{0,3}$", re.I)
+NAME_CHARS, NAMED_BITS = 24, 2.0  # a chosen password is less varied than a random run
 SECRET_BITS = 3.0  # entropy of a secret's characters; words and counters have less, or no digits
 
 #: Score of a proposed span before and after its checksum, and what words near it add.
-PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.4, "phone": 0.7, "iban": 0.3, "national_phone": 0.35, "ssn": 0.4, "secret": 0.2}
+PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.4, "phone": 0.7, "iban": 0.3, "national_phone": 0.35, "ssn": 0.4, "access_key": 0.7, "secret": 0.2}
 CONFIRMED = {"card": 0.4, "iban": 0.6, "secret": 0.2}
 CONTEXT_BONUS, CONTEXT_CHARS, THRESHOLD = 0.3, 40, 0.6
 CONTEXT = {
@@ -55,6 +67,7 @@ CONTEXT = {
     "iban": re.compile(r"iban|account|konto|compte|cuenta", re.I),
     "national_phone": re.compile(r"phone|call\b|\btel\b|\btel\.|mobile|téléphone|telefon|teléfono", re.I),
     "ssn": re.compile(r"\bssn\b|social security", re.I),
+    "access_key": re.compile(r"key|token|secret|aws", re.I),
     "secret": re.compile(r"token|secret|passw|credential|\bpwd\b|(?:api|access|private|auth)[ _-]?key", re.I),
 }
 
@@ -76,11 +89,11 @@ def mod97(iban: str) -> bool:
     return int("".join(str(int(c, 36)) for c in moved)) % 97 == 1
 
 
-def random_like(run: str) -> bool:
-    """Letters and digits, and an entropy of ``SECRET_BITS`` a character or more."""
+def random_like(run: str, bits: float = SECRET_BITS) -> bool:
+    """Letters and digits, and an entropy of ``bits`` a character or more."""
     if not any(c.isdigit() for c in run) or not any(c.isalpha() for c in run):
         return False
-    return -sum(n / len(run) * math.log2(n / len(run)) for n in Counter(run).values()) >= SECRET_BITS
+    return -sum(n / len(run) * math.log2(n / len(run)) for n in Counter(run).values()) >= bits
 
 
 def _from_runs(kind: str, text: str) -> Iterator[tuple[int, int]]:
@@ -105,6 +118,24 @@ def _ibans(text: str) -> Iterator[tuple[int, int]]:
         at = b or a + 1
 
 
+def _secrets(text: str) -> Iterator[tuple[str, int, int]]:
+    """Keys of known formats, values of telling names, and runs that look random; of overlapping ones the first named stays."""
+    taken = [("access_key", *m.span()) for m in _KEYS.finditer(text)]
+    more = []
+    for m in _VALUE.finditer(text):
+        value = m[1].rstrip(".!?")
+        if len(value) >= 8 and random_like(value, NAMED_BITS) and _NAME.search(text, max(0, m.start() - NAME_CHARS), m.start()):
+            more.append((m.start(1), m.start(1) + len(value)))
+    more += [m.span() for m in _SECRET.finditer(text) if random_like(m[0])]
+    ends: list[tuple[int, int]] = sorted((a, b) for _, a, b in taken)
+    yield from taken
+    for a, b in more:
+        i = bisect_left(ends, (b, 0))  # spans before i begin before b; they don't overlap, so only the last can reach a
+        if not i or ends[i - 1][1] <= a:
+            insort(ends, (a, b))
+            yield "secret", a, b
+
+
 def _small(part: str) -> bool:
     part = part.lstrip("0")
     return len(part) <= 3 and int(part or 0) <= 255
@@ -131,9 +162,8 @@ def propose(text: str) -> Iterator[tuple[str, int, int, bool]]:
                 yield "phone", *m.span(), False
     for a, b in _ibans(text):
         yield "iban", a, b, True
-    for m in _SECRET.finditer(text):
-        if random_like(m[0]):
-            yield "secret", *m.span(), True
+    for kind, a, b in _secrets(text):
+        yield kind, a, b, True
     for kind, pat in (("national_phone", _NATIONAL), ("ssn", _SSN)):
         for m in pat.finditer(text):
             yield kind, *m.span(), False
@@ -196,8 +226,8 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def digest(found: DataFrame) -> DataFrame:
-    """Counts and digests of ``find``'s spans."""
+    """Counts and digests of ``find``'s spans: the base kinds, then the further ones and all together."""
     base = F.filter("spans", lambda s: s["kind"].isin(*BASE_KINDS))
     line = lambda a: F.array_join(F.transform(a, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
     count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
-    return found.select("doc_id", *[count(k) for k in BASE_KINDS], F.sha2(line(base), 256).alias("base_sha256"), line(F.col("spans")).alias("spans"))
+    return found.select("doc_id", *[count(k) for k in BASE_KINDS], F.sha2(line(base), 256).alias("base_sha256"), line(F.col("spans")).alias("spans"), *[count(k) for k in KINDS[len(BASE_KINDS) :]], F.size("spans").cast("long").alias("n_spans"))

@@ -102,7 +102,7 @@ def quality_base_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pii_base_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The part of op9 that SQL can express."""
-    return op9_pii(spark, sf_dir).drop("base_sha256", "spans")
+    return op9_pii(spark, sf_dir).select("doc_id", *[f"n_{k}" for k in pii.BASE_KINDS])
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

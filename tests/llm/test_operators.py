@@ -621,6 +621,25 @@ def test_pii_secrets():
     assert pii.spans("token " + "a1" * 200_000) == []  # linear, and too long
 
 
+def test_pii_keys_and_named_values():
+    got = lambda t: [(k, t[a:b]) for k, a, b, _ in pii.spans(t)]
+    key = "AKIA" + "Q7" * 8
+    assert got(f"x {key} y") == [("access_key", key)] and got(f"x {key}Z y") == [] and got(f"x {key.lower()} y") == []
+    assert got("password=b7db7aa4a5fcc78305 end") == [("secret", "b7db7aa4a5fcc78305")]
+    assert got('{"db_password": "s3cretvalue"}') == [("secret", "s3cretvalue")] and got("api-key: abc12345.") == [("secret", "abc12345")]
+    assert got("see https://h/?token=abc123456&x=1") == [("secret", "abc123456")]
+    # no digit, no letter, too short, no telling name
+    assert got("password=changeme_now token: 12345678 secret=a1b2c3 colour=abc12345678") == []
+    # a key that a telling name is given has one span, the known format's; a run that looks random likewise
+    assert got(f'token = "{key}"') == [("access_key", key)]
+    assert got("secret: 9f8e7d6c5b4a39281706f5e4") == [("secret", "9f8e7d6c5b4a39281706f5e4")]
+    block = "-----BEGIN RSA PRIVATE KEY-----\nMIIabc\n-----END RSA PRIVATE KEY-----"
+    assert got(f"a\n{block}\nb") == [("access_key", block)] and pii.masked(f"a {block} b") == "a <ACCESS_KEY> b"
+    assert got("user a1@b.example password=a1@b.example") == [("email", "a1@b.example")] * 2  # base spans stay
+    for long in ("=" * 300_000, "a=" * 150_000, "eyJ" * 100_000, "=a1" * 100_000, "password=" * 40_000, "-----BEGIN " * 30_000, "password=" + "a1" * 200_000):
+        pii.spans(long)  # linear
+
+
 def test_pii_query_digests(spark, tmp_path):
     from marlstone.llm import queries
 
@@ -634,6 +653,7 @@ def test_pii_query_digests(spark, tmp_path):
         assert [got[i][f"n_{k}"] for k in pii.BASE_KINDS] == [sum(s[0] == k for s in base) for k in pii.BASE_KINDS]
         assert got[i]["base_sha256"] == hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in base).encode()).hexdigest()
         assert got[i]["spans"] == ",".join(f"{k}:{a}:{b}" for k, a, b, _ in pii.spans(t or ""))
+        assert got[i]["n_spans"] == len(pii.spans(t or "")) == sum(got[i][f"n_{k}"] for k in pii.KINDS)
 
 
 def test_pii_iban_ends_at_any_token():
