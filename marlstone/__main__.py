@@ -31,6 +31,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--hashes", required=True, help="module:function that adds sig, img_w and img_h")
     p.add_argument("--render", help="module:function that gives a PDF's pages as images")
     p.add_argument("--once", action="store_true", help="watch: stop when all present files are done")
+    p.add_argument("--archive", help="watch: folder that ingested files move to")
     a = p.parse_args(argv)
     logs.configure()
     spark = SparkSession.builder.appName("marlstone").getOrCreate()
@@ -38,7 +39,7 @@ def main(argv: list[str] | None = None) -> int:
     parts = (spark, a.path, a.root, named(a.recogniser), named(a.hashes), Options.from_conf(spark))
     if a.what == "ingest":
         return 0 if ingest.ingest_file(*parts, **more) else 1
-    watcher.watch(*parts, available_now=a.once, **more).awaitTermination()
+    watcher.watch(*parts, available_now=a.once, archive_to=a.archive, **more).awaitTermination()
     return 0
 
 

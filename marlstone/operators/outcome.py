@@ -25,6 +25,12 @@ def by_status(df: DataFrame, *keys: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 
 
+def reduction(before: DataFrame, after: DataFrame) -> DataFrame:
+    """One row: how many rows a step was given and how many it left."""
+    one = lambda df, name: df.agg(F.count(F.lit(1)).alias(name))
+    return one(before, "n_in").crossJoin(F.broadcast(one(after, "n_out")))  # a row each
+
+
 def progress(done: DataFrame, totals: DataFrame, source: str = "source_file") -> DataFrame:
     """Remaining pages of each source; a source without pages is done at once."""
     d = done.groupBy(F.col(source).alias("d_source")).agg(F.count(F.lit(1)).alias("dispatched"))

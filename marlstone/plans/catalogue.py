@@ -219,6 +219,11 @@ def dedup_split_counts(spark, sf_dir):
     return outcome.by_status(split.assign(neardup_greedy(spark, sf_dir), "doc_id"), "split")
 
 
+@query(GREEDY_SQL + "SELECT (SELECT count(*) FROM documents) AS n_in, (SELECT count(*) FROM chosen) AS n_out")
+def dedup_cardinality(spark, sf_dir):
+    return outcome.reduction(table(spark, sf_dir, "documents"), neardup_greedy(spark, sf_dir))
+
+
 # ------------------------------------------------------------------ layout to markup
 
 

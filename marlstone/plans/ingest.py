@@ -9,13 +9,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..errors import StorageError
+from ..errors import GateError, StorageError
 from ..functions import signature, text
 from ..operators import doctag, neardup
 from ..options import SOURCE_NAME, Options
 from ..schemas import HASH_INDEX
 from ..sources import files, sinks
-from ..sources.scratch import written
+from ..sources.scratch import exists, listing, written
 
 Recogniser = Callable[[bytes], str]
 
@@ -97,18 +97,31 @@ def commit(done: DataFrame, root: str, batch_id: int) -> int:
     return done.filter("status = 'saved'").count()
 
 
-def ingest_file(spark: SparkSession, path: str, root: str, make: Callable[[], Recogniser], hashes: Callable[[DataFrame], DataFrame], options: Options = Options(), render: files.Renderer = files._render_with_library, batch_id: int = 0) -> int:
+def ingest_file(spark: SparkSession, path: str, root: str, make: Callable[[], Recogniser], hashes: Callable[[DataFrame], DataFrame], options: Options = Options(), render: files.Renderer = files._render_with_library, batch_id: int | None = None) -> int:
     """Ingest one file and return the number of saved pages; a file that can't be rendered raises.
 
+    Without a ``batch_id`` it takes the next free one; the number of a batch before runs that batch again.
+
     ``hashes`` adds ``sig``, ``img_w`` and ``img_h`` to pages with ``content``.
     """
-    pages = written(files.pages(files.one_file(spark, path), options.dpi, render), "pages")
+    source = files.one_file(spark, path)
+    if batch_id is None:
+        batch_id = next_batch(spark, root)
+    pages = written(files.pages(source, options.dpi, render), "pages")
     if bad := pages.filter("error is not null").select("error").first():
         raise StorageError(f"{path}: {bad['error']}")
     done = written(outcomes(hashes(pages.drop("error")), index_before(spark, root, batch_id), make, options), "outcomes")
     return commit(done, root, batch_id)
 
 
+def next_batch(spark: SparkSession, root: str) -> int:
+    """One more than the last batch that was committed whole; a stream numbers its batches itself, so its folder is refused."""
+    if exists(spark, f"{root}/checkpoint"):
+        raise GateError("ingest", f"{root} belongs to a stream")
+    done = listing(spark, f"{root}/index") if exists(spark, f"{root}/index") else []
+    return 1 + max((int(x.split("=")[1]) for x in done if x.startswith("batch_id=")), default=-1)
+
+
 def index_before(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
     """What other batches have registered before; a batch that runs again does not see itself."""
     return sinks.read_batches(spark, f"{root}/index", HASH_INDEX).filter(F.col("batch_id") < batch_id)

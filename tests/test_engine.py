@@ -286,6 +286,44 @@ def test_ingest(spark, tmp_path):
         ingest.ingest_file(spark, str(tmp_path / "bad.pdf"), root, _good, _hashes, render=_broken, batch_id=4)
 
 
+def test_ingest_numbers_files(spark, tmp_path):
+    """Files that are ingested without a number add to each other; streams and single files don't share a folder."""
+    src, root = tmp_path / "in", str(tmp_path / "out")
+    src.mkdir()
+    for i in range(2):
+        (src / f"{i}.png").write_bytes(b"picture %d" % i)
+        assert ingest.ingest_file(spark, str(src / f"{i}.png"), root, _good, _hashes) == 1
+    assert ingest.ingest_file(spark, str(src / "1.png"), root, _good, _hashes) == 0
+    assert sorted(r["batch_id"] for r in spark.read.parquet(f"{root}/samples").collect()) == [0, 1]
+    assert ingest.next_batch(spark, root) == 3
+    with pytest.raises(GateError, match="single files"):
+        watcher.watch(spark, str(src), root, _good, _hashes, available_now=True)
+    (tmp_path / "stream" / "checkpoint").mkdir(parents=True)
+    with pytest.raises(GateError, match="stream"):
+        ingest.ingest_file(spark, str(src / "0.png"), str(tmp_path / "stream"), _good, _hashes)
+
+
+def test_stream_archives_files(spark, tmp_path):
+    """Files move one trigger later; a name that is taken is kept beside it; the ones that failed go apart."""
+    src, root, to = tmp_path / "in", str(tmp_path / "out"), tmp_path / "old"
+    src.mkdir()
+    options = Options(prefetch=10)
+    go = lambda: watcher.drain(watcher.watch(spark, str(src), root, _good, _hashes, options, _broken, available_now=True, archive_to=str(to)))
+    names = lambda d: sorted(p.name for p in d.iterdir() if not p.name.startswith(".")) if d.exists() else []
+    (to / "done").mkdir(parents=True)
+    (to / "done" / "a.png").write_bytes(b"from before")
+    (src / "a.png").write_bytes(b"picture a")
+    (src / "bad.pdf").write_bytes(b"broken")
+    go()
+    assert names(src) == ["a.png", "bad.pdf"]
+    (src / "b.png").write_bytes(b"picture b")
+    go()
+    assert names(src) == ["b.png"] and names(to / "failed") == ["bad.pdf"]
+    assert len(names(to / "done")) == 2 and (to / "done" / "a.png").read_bytes() == b"from before"
+    assert watcher.archive(spark, root, str(to), 0) == 0  # a second time moves nothing
+    assert watcher.archive(spark, root, str(to), 1) == 1 and names(src) == [] and "b.png" in names(to / "done")
+
+
 def _broken(content, dpi):
     if content == b"broken":
         raise ValueError("no pages in it")
