@@ -5,9 +5,11 @@ bands of sixteen bits.  So an equi-join of (band, value) with every value that
 is one bit or none away (17 probes a band) finds each pair, and of two random
 signatures about one pair in a thousand meets; nothing is compared all with
 all.  Rows with equal signatures are collapsed before the join; adaptive
-execution splits the values that stay hot.  The greedy choice keeps a row
-unless an earlier kept row is near: the lexicographically first maximal
-independent set, found in rounds.
+execution splits the values that stay hot.  The join is always a merge join:
+Spark doesn't count the rows that explode adds (68 for a probing signature), so
+it would take a table of many times the driver's memory for one to broadcast.
+The greedy choice keeps a row unless an earlier kept row is near: the
+lexicographically first maximal independent set, found in rounds.
 """
 
 from __future__ import annotations
@@ -44,7 +46,7 @@ def near_pairs(left: DataFrame, right: DataFrame, below: int = HAMMING_BELOW) ->
     # of the bands a pair meets in only the first one counts, so the pair needs no distinct()
     x = F.col("l_sig").bitwiseXOR(F.col("r_sig"))
     first = F.coalesce(*[F.when(F.bit_count(_band(x, i)) <= 1, F.lit(i)) for i in range(BANDS)])
-    return a.join(b, ["band", "value"]).filter((d < below) & (first == F.col("band"))).select("l_sig", "r_sig", d.alias("distance"))
+    return a.hint("merge").join(b.hint("merge"), ["band", "value"]).filter((d < below) & (first == F.col("band"))).select("l_sig", "r_sig", d.alias("distance"))
 
 
 def unseen(batch: DataFrame, index: DataFrame, below: int = HAMMING_BELOW) -> DataFrame:

@@ -118,6 +118,18 @@ def test_bands_find_every_near_pair_and_few_others(spark):
     assert met < len(set(sigs)) ** 2 / 300
 
 
+def plan(df):
+    """The plan that ran."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bands_are_not_broadcast(spark):
+    u = spark.range(3000).select(F.xxhash64("id").alias("sig")).distinct()
+    ran = plan(neardup.near_pairs(u, u))
+    assert "SortMergeJoin" in ran and "BroadcastHashJoin" not in ran
+
+
 def test_greedy_needs_unique_order(spark):
     with pytest.raises(ValueError, match="not unique"):
         neardup.greedy(spark.createDataFrame([(1, 5), (1, 6)], "key long, sig long"), "key")
