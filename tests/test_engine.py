@@ -13,9 +13,10 @@ from marlstone.errors import GateError, StorageError
 from marlstone.functions import geometry, signature, text
 from marlstone.operators import doctag, layout, neardup, numbering, outcome, split
 from marlstone.options import Options
-from marlstone.plans import dataset, ingest
+from marlstone.plans import catalogue, dataset, ingest
 from marlstone.schemas import HASH_INDEX, MANIFEST, OUTCOME
 from marlstone.sources import files, sinks
+from marlstone.sources.scratch import written
 from marlstone.streaming import watcher
 
 LOC = "<loc_50><loc_50><loc_250><loc_250>"
@@ -130,6 +131,19 @@ def test_bands_are_not_broadcast(spark):
     assert "SortMergeJoin" in ran and "BroadcastHashJoin" not in ran
 
 
+@pytest.mark.parametrize("name", ["neardup_greedy"])
+def test_queries_do_not_broadcast_bands(spark, monkeypatch, name):
+    ran = {}
+
+    def spied(df, name):
+        ran.setdefault(name, plan(df))
+        return written(df, name)
+
+    monkeypatch.setattr(neardup, "written", spied)
+    catalogue.queries()[name](spark, "/root/testdata/sf0.001")
+    assert "SortMergeJoin [band" in ran["greedy-edges"] and "BroadcastHashJoin [band" not in ran["greedy-edges"]
+
+
 def test_greedy_needs_unique_order(spark):
     with pytest.raises(ValueError, match="not unique"):
         neardup.greedy(spark.createDataFrame([(1, 5), (1, 6)], "key long, sig long"), "key")
