@@ -131,7 +131,7 @@ def test_bands_are_not_broadcast(spark):
     assert "SortMergeJoin" in ran and "BroadcastHashJoin" not in ran
 
 
-@pytest.mark.parametrize("name", ["neardup_greedy", "dedup_split_counts"])
+@pytest.mark.parametrize("name", ["neardup_greedy", "dedup_split_counts", "dedup_cardinality"])
 def test_queries_do_not_broadcast_bands(spark, monkeypatch, name):
     ran = {}
 
