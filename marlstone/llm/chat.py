@@ -7,16 +7,17 @@ prefix of the later one, the template rewrites history, and the conversation
 is marked so.  The place of a turn's text inside its span is found by two more
 renderings with probe texts, which differ from their first character on.
 
-Prefixes are whole, whatever the number of turns, as long as a conversation's
-output has at most ``WHOLE_CHARS`` characters: that bounds a task's memory, and
-its time, which grows with the square of that length.  A longer conversation
-(one with a third of all rows, say) streams on with the last ``WINDOW`` turns
-only: prefixes then begin at a turn at most that far back, and the same turn
+Prefixes and probes are whole, whatever the conversation's length, so its
+results never depend on it.  The time grows with the square of the number of
+turns (a black box can be asked for a prefix only by rendering it); a task
+holds a few copies of one conversation's output.  A caller that knows its
+template may bound both with ``whole_chars``: a conversation with a longer
+output then streams on with the last ``window`` turns only, and the same turn
 must render alike from both starts wherever the window moves, else the
 conversation is marked as rewritten.  There, and only there, a template that
 rewrites only what is further back is not detected, and one that numbers its
-turns is marked wrongly.  (A conversation's digests are sequential by
-definition, so it is one task's work.)
+turns is marked wrongly.  The registered query sets no such bound.  (A
+conversation's digests are sequential by definition, so it is one task's work.)
 
 Defined results: a null role or text is empty.  Turns are ordered by (turn,
 role, text), nulls first; repeated rows are repeated turns.  Rows with a null
@@ -42,8 +43,8 @@ Template = Callable[[list[Turn]], str]
 CONTROLS = ("[INST]", "[/INST]", "[ROLE]", "[/ROLE]", "[TEXT]", "<s>", "</s>")
 _CONTROL = re.compile("|".join(re.escape(c) for c in (*CONTROLS, "\\")))
 _ESCAPED = re.compile(r"\\(\\?)")
-WHOLE_CHARS, WINDOW = 1 << 21, 32
-PROBE_TURNS = 8  # turns before a probe; the turn itself must render alike after them
+WHOLE_CHARS, WINDOW = None, 32  # None: prefixes are always whole
+CACHE_CHARS = 1 << 23  # of rendered turns that the template below keeps
 BATCH_ROWS, BATCH_CHARS = 2000, 1 << 22
 
 
@@ -52,6 +53,8 @@ def escape(text: str) -> str:
 
     A backslash is doubled; a control string gets one after its first character.
     """
+    if "[" not in text and "<" not in text and "\\" not in text:
+        return text
     return _CONTROL.sub(lambda m: "\\\\" if m[0] == "\\" else m[0][0] + "\\" + m[0][1:], text)
 
 
@@ -59,16 +62,34 @@ def unescape(text: str) -> str:
     return _ESCAPED.sub(r"\1", text)
 
 
+def _instruct_turn(role: str, text: str) -> str:
+    if role == "user":
+        return f"[INST] {escape(text)} [/INST]"
+    if role == "assistant":
+        return f"<s>{escape(text)}</s>"
+    return f"[ROLE]{escape(role)}[TEXT]{escape(text)}[/ROLE]"
+
+
+class _Rendered(dict):
+    """Rendered turns by (role, text); emptied where they get too many, which costs only time."""
+
+    chars = 0
+
+    def __missing__(self, turn: Turn) -> str:
+        out = _instruct_turn(*turn)
+        self.chars += len(out) + 100
+        if self.chars > CACHE_CHARS:
+            self.clear()
+            self.chars = len(out) + 100
+        self[turn] = out
+        return out
+
+
+_rendered = _Rendered()
+
+
 def instruct_template(turns: list[Turn]) -> str:
-    out = []
-    for role, text in turns:
-        if role == "user":
-            out.append(f"[INST] {escape(text)} [/INST]")
-        elif role == "assistant":
-            out.append(f"<s>{escape(text)}</s>")
-        else:
-            out.append(f"[ROLE]{escape(role)}[TEXT]{escape(text)}[/ROLE]")
-    return "".join(out)
+    return "".join(map(_rendered.__getitem__, turns))
 
 
 _TURN = re.compile(r"\[INST\] (?P<u>.*?) \[/INST\]|<s>(?P<a>.*?)</s>|\[ROLE\](?P<r>.*?)\[TEXT\](?P<t>.*?)\[/ROLE\]", re.S)
@@ -92,10 +113,9 @@ def parse_instruct(formatted: str) -> list[Turn]:
 
 
 def _common_prefix(a: str, b: str) -> int:
-    n = min(len(a), len(b))
-    if a[:n] == b[:n]:
-        return n
-    lo, hi = 0, n
+    if b.startswith(a):
+        return len(a)
+    lo, hi = 0, min(len(a), len(b))
     while lo < hi:
         mid = (lo + hi + 1) // 2
         lo, hi = (mid, hi) if a[:mid] == b[:mid] else (lo, mid - 1)
@@ -105,7 +125,7 @@ def _common_prefix(a: str, b: str) -> int:
 class Renderer:
     """Feeds the turns of one conversation to a template, one by one."""
 
-    def __init__(self, template: Template, whole_chars: int = WHOLE_CHARS, window: int = WINDOW):
+    def __init__(self, template: Template, whole_chars: int | None = WHOLE_CHARS, window: int = WINDOW):
         self.template, self.whole_chars, self.window = template, whole_chars, max(2, window)
         self.turns: list[Turn] = []
         self.out = ""  # the rendering of self.turns
@@ -120,9 +140,9 @@ class Renderer:
         self.before += len(self.out) - len(moved)
         self.turns, self.out = keep, moved
 
-    def _text_in(self, span: str, begun: int, turns: list[Turn], role: str) -> tuple[int, int] | None:
-        """Where the text stands in the span, by two probes after ``turns``, whose rendering ends where the span begins."""
-        a, b = (self.template([*turns, (role, p)])[begun:] for p in ("0", "1"))
+    def _text_in(self, span: str, begun: int, role: str) -> tuple[int, int] | None:
+        """Where the text stands in the span, which begins there, by two probes after the same turns."""
+        a, b = (self.template([*self.turns, (role, p)])[begun:] for p in ("0", "1"))
         head = _common_prefix(a, b)
         tail = _common_prefix(a[head:][::-1], b[head:][::-1])
         ok = head + tail <= len(span) and span[:head] == a[:head] and (not tail or span[len(span) - tail :] == a[len(a) - tail :])
@@ -130,18 +150,13 @@ class Renderer:
 
     def add(self, role: str, text: str) -> tuple[str, int, int, int]:
         """The turn's span, where it starts in the output so far, and where its text starts and ends in the span (-1: not found)."""
-        if len(self.out) > self.whole_chars and len(self.turns) >= self.window:
+        if self.whole_chars is not None and len(self.out) > self.whole_chars and len(self.turns) >= self.window:
             self._move()
         now = self.template([*self.turns, (role, text)])
         same = _common_prefix(self.out, now)
         self.rewrites |= same < len(self.out)
-        span, found = now[same:], None
-        if len(self.turns) > PROBE_TURNS:  # a few turns will do if the turn renders alike after them
-            few = self.turns[-PROBE_TURNS:]
-            short = self.template(few)
-            if self.template([*few, (role, text)]) == short + span:
-                found = self._text_in(span, len(short), few, role)
-        a, b = found or self._text_in(span, same, self.turns, role) or (-1, -1)
+        span = now[same:]
+        a, b = self._text_in(span, same, role) or (-1, -1)
         self.turns.append((role, text))
         self.out = now
         return span, self.before + same, a, b
@@ -150,7 +165,7 @@ class Renderer:
 SPANS = "conv_id long, turn_no long, role string, span string, span_start long, text_start long, text_end long, loss boolean, rewrites boolean, last boolean"
 
 
-def render_turns(conversations: DataFrame, template: Template = instruct_template, whole_chars: int = WHOLE_CHARS, window: int = WINDOW, loss_role: str = "assistant") -> DataFrame:
+def render_turns(conversations: DataFrame, template: Template = instruct_template, whole_chars: int | None = WHOLE_CHARS, window: int = WINDOW, loss_role: str = "assistant") -> DataFrame:
     """One row a turn: its span of the formatted text, and where in the span its text lies.
 
     ``conv_id``; ``turn_no`` from 0; ``span`` (unless history is rewritten, the

@@ -198,6 +198,37 @@ def test_chat_prefixes_are_whole():
     assert [s[1] for s in spans] == list(np.cumsum([0] + [len(s[0]) for s in spans[:-1]]))
 
 
+def test_chat_long_conversations_are_whole():
+    """Outputs of over two million characters: what the two templates above do is told as in short ones."""
+    last = chat.Renderer(lambda turns: "".join(f"<{t}>" for _, t in turns[-40:]))
+    numbered = chat.Renderer(lambda turns: "".join(f"{i}:{t};" for i, (_, t) in enumerate(turns)))
+    for i in range(60):
+        text = f"t{i}" + "x" * 60_000
+        last.add("user", text)
+        assert last.rewrites == (i >= 40)
+        span, _, a, b = numbered.add("user", text)
+        assert span == f"{i}:{text};" and span[a:b] == text and not numbered.rewrites
+
+
+def test_chat_probes_are_whole():
+    """Where a text lies is told alike after few and many turns, by a template that names repeated texts."""
+    again = lambda turns: "".join("<same/>" if t in [x for _, x in turns[:i]] else f"<t>{t}</t>" for i, (_, t) in enumerate(turns))
+    found = []
+    for n in (3, 20):
+        r = chat.Renderer(again)
+        for t in ["0", *(f"x{i}" for i in range(n))]:
+            r.add("user", t)
+        span, _, a, b = r.add("user", "5")
+        found.append((span, a, b))
+    assert found[0] == found[1]
+
+
+def test_chat_template_outlives_its_cache(monkeypatch):
+    monkeypatch.setattr(chat, "CACHE_CHARS", 300)
+    turns = [("user", f"[INST] {i}") for i in range(50)]
+    assert chat.parse_instruct(chat.instruct_template(turns)) == turns and len(chat._rendered) < 4
+
+
 def test_chat_query_digests(spark, tmp_path):
     """What the query returns, against digests of the table itself."""
     from marlstone.llm import queries
