@@ -144,6 +144,20 @@ def test_queries_do_not_broadcast_bands(spark, monkeypatch, name):
     assert "SortMergeJoin [band" in ran["greedy-edges"] and "BroadcastHashJoin [band" not in ran["greedy-edges"]
 
 
+@pytest.mark.parametrize("name", ["neardup_greedy"])
+def test_queries_broadcast_no_table_that_grows(spark, monkeypatch, name):
+    ran = []
+
+    def spied(df, name):
+        ran.append(plan(df))
+        return written(df, name)
+
+    monkeypatch.setattr(neardup, "written", spied)
+    ran.append(plan(catalogue.queries()[name](spark, "/root/testdata/sf0.001")))
+    # the only ones are of a row for each partition (numbered) and of a row each (reduction)
+    assert len(ran) > 4 and not [p for p in ran if "BroadcastHashJoin" in p.replace("BroadcastHashJoin [_part", "")]
+
+
 def test_greedy_needs_unique_order(spark):
     with pytest.raises(ValueError, match="not unique"):
         neardup.greedy(spark.createDataFrame([(1, 5), (1, 6)], "key long, sig long"), "key")
