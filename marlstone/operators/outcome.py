@@ -27,8 +27,8 @@ def by_status(df: DataFrame, *keys: str) -> DataFrame:
 
 def reduction(before: DataFrame, after: DataFrame) -> DataFrame:
     """One row: how many rows a step was given and how many it left."""
-    one = lambda df, name: df.agg(F.count(F.lit(1)).alias(name))
-    return one(before, "n_in").crossJoin(F.broadcast(one(after, "n_out")))  # a row each
+    both = before.select(F.lit(True).alias("given")).unionByName(after.select(F.lit(False).alias("given")))
+    return both.agg(F.count_if("given").alias("n_in"), F.count_if(~F.col("given")).alias("n_out"))
 
 
 def progress(done: DataFrame, totals: DataFrame, source: str = "source_file") -> DataFrame:

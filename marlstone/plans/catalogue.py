@@ -11,7 +11,7 @@ from ..functions import geometry, signature, text
 from ..operators import doctag, neardup, numbering, outcome, split
 from ..operators.layout import exploded, with_regions
 from ..sources import files, sinks
-from ..sources.scratch import work_dir
+from ..sources.scratch import work_dir, written
 from ..streaming import watcher
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -213,6 +213,11 @@ def neardup_greedy(spark, sf_dir):
     return neardup.greedy(_signatures(spark, sf_dir), "doc_id").select("doc_id")
 
 
+def _kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The choice, written: what uses it is planned and run without the choice's own joins."""
+    return written(neardup_greedy(spark, sf_dir), "kept")
+
+
 @query(GREEDY_SQL + """, r AS (SELECT doc_id, row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id) AS k, count(*) OVER () AS n FROM chosen)
 SELECT CASE WHEN k <= n - ceil(0.2::DOUBLE * n) THEN 'train' WHEN k <= n - ceil(0.5::DOUBLE * ceil(0.2::DOUBLE * n)) THEN 'val' ELSE 'test' END AS split, count(*) AS n FROM r GROUP BY 1""")
 def dedup_split_counts(spark, sf_dir):
@@ -221,7 +226,7 @@ def dedup_split_counts(spark, sf_dir):
 
 @query(GREEDY_SQL + "SELECT (SELECT count(*) FROM documents) AS n_in, (SELECT count(*) FROM chosen) AS n_out")
 def dedup_cardinality(spark, sf_dir):
-    return outcome.reduction(table(spark, sf_dir, "documents"), neardup_greedy(spark, sf_dir))
+    return outcome.reduction(table(spark, sf_dir, "documents"), _kept(spark, sf_dir))
 
 
 # ------------------------------------------------------------------ layout to markup

@@ -158,6 +158,25 @@ def test_queries_broadcast_no_table_that_grows(spark, monkeypatch, name):
     assert len(ran) > 4 and not [p for p in ran if "BroadcastHashJoin" in p.replace("BroadcastHashJoin [_part", "")]
 
 
+@pytest.mark.parametrize("name", ["dedup_cardinality"])
+def test_queries_use_the_choice_without_its_joins(spark, monkeypatch, name):
+    ran = []
+
+    def spied(df, name):
+        ran.append(plan(df))
+        return written(df, name)
+
+    monkeypatch.setattr(numbering, "written", spied)
+    ran.append(plan(catalogue.queries()[name](spark, "/root/testdata/sf0.001")))
+    assert not [p for p in ran if "Join" in p.replace("BroadcastHashJoin [_part", "")]
+
+
+def test_reduction_counts_empty_tables(spark):
+    some, none = spark.range(3), spark.range(0)
+    for before, after, want in ((some, some, (3, 3)), (some, none, (3, 0)), (none, none, (0, 0))):
+        assert outcome.reduction(before, after).collect() == [want]
+
+
 def test_greedy_needs_unique_order(spark):
     with pytest.raises(ValueError, match="not unique"):
         neardup.greedy(spark.createDataFrame([(1, 5), (1, 6)], "key long, sig long"), "key")
