@@ -221,7 +221,7 @@ def _kept(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(GREEDY_SQL + """, r AS (SELECT doc_id, row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id) AS k, count(*) OVER () AS n FROM chosen)
 SELECT CASE WHEN k <= n - ceil(0.2::DOUBLE * n) THEN 'train' WHEN k <= n - ceil(0.5::DOUBLE * ceil(0.2::DOUBLE * n)) THEN 'val' ELSE 'test' END AS split, count(*) AS n FROM r GROUP BY 1""")
 def dedup_split_counts(spark, sf_dir):
-    return outcome.by_status(split.assign(neardup_greedy(spark, sf_dir), "doc_id"), "split")
+    return outcome.by_status(split.assign(_kept(spark, sf_dir), "doc_id"), "split")
 
 
 @query(GREEDY_SQL + "SELECT (SELECT count(*) FROM documents) AS n_in, (SELECT count(*) FROM chosen) AS n_out")

@@ -158,7 +158,7 @@ def test_queries_broadcast_no_table_that_grows(spark, monkeypatch, name):
     assert len(ran) > 4 and not [p for p in ran if "BroadcastHashJoin" in p.replace("BroadcastHashJoin [_part", "")]
 
 
-@pytest.mark.parametrize("name", ["dedup_cardinality"])
+@pytest.mark.parametrize("name", ["dedup_split_counts", "dedup_cardinality"])
 def test_queries_use_the_choice_without_its_joins(spark, monkeypatch, name):
     ran = []
 
